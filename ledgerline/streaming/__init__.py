@@ -1,0 +1,6 @@
+"""No streaming operators: the covered work is batch only.
+
+The row-local functions in ``ledgerline.functions.expressions`` and the fitted
+transformers also accept a streaming DataFrame; ``tests/test_streaming.py``
+shows that.
+"""
