@@ -16,6 +16,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.prefix import running_total
 from ledgerline.functions.quantiles import column_quantiles
 from ledgerline.functions.sizing import lookup_join, measured
 from ledgerline.operators.splits import fold_number
@@ -245,9 +246,8 @@ class OrdinalEncoder(Estimator, _Columns):
         tables = {}
         for c in self.columns():
             distinct = df.select(F.col(c).alias("_category")).where(F.col(c).isNotNull()).distinct()
-            # Tree learners need every category in their bins, so a vocabulary stays small.
-            index = F.row_number().over(Window.orderBy("_category")) - 1
-            tables[c] = measured(distinct.withColumn("_index", index))
+            counted = running_total(distinct.withColumn("_one", F.lit(1)), ["_category"], "_one", "_upto")
+            tables[c] = measured(counted.select("_category", (F.col("_upto") - 1).cast("int").alias("_index")))
         return OrdinalModel(self.columns(), tables, self.suffix)
 
 

@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.distributions import t_two_sided_p
+from ledgerline.functions.prefix import running_total
 from ledgerline.functions.quantiles import column_quantiles, quantile_values, unpivot_values
 from ledgerline.functions.sizing import lookup_join, measured
 
-RANK_BUCKETS = 1024
-
 
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """column, count, mean, std, min, q25, q50, q75, max. Exact quartiles, sample deviation."""
@@ -74,34 +72,17 @@ def correlation_pair(df: DataFrame, a: str, b: str, clipped: Column | None = Non
 def average_rank(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     """value, copies, rank for each distinct value; ties share the mean of their ranks.
 
-    Ranks are running counts over distinct values. They are taken inside buckets cut at
-    approximate quantiles and shifted by the bucket totals, so no task sees all values.
+    Copies are counted first, so a hot value is one row; ranks are running totals over the
+    distinct values, block by block.
     """
-    known = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    copies = known.groupBy("_v").agg(F.count("*").alias("copies"))
-    edges = known.agg(
-        F.kll_sketch_agg_double("_v", F.lit(RANK_BUCKETS)).alias("_s")
-    ).select(
-        F.kll_sketch_get_quantile_double(
-            "_s", F.array(*[F.lit(i / RANK_BUCKETS) for i in range(1, RANK_BUCKETS)])
-        ).alias("edges")
-    ).first()["edges"]
-    inner = sorted(set(edges or []))
-    splits = [-float("inf"), *inner, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket").transform(copies)
-    totals = measured(bucketed.groupBy("_bucket").agg(F.sum("copies").alias("_in_bucket")))
-    offsets = totals.withColumn(
-        "_before", F.sum("_in_bucket").over(Window.orderBy("_bucket")) - F.col("_in_bucket")
-    ).drop("_in_bucket")
-    upto = F.sum("copies").over(Window.partitionBy("_bucket").orderBy("_v"))
-    return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn("_upto", F.col("_before") + upto)
-        .select(
-            F.col("_v").alias(value),
-            "copies",
-            (F.col("_upto") - (F.col("copies") - 1) / 2.0).alias(rank),
-        )
+    copies = (
+        df.select(F.col(value).cast("double").alias(value))
+        .where(F.col(value).isNotNull())
+        .groupBy(value)
+        .agg(F.count("*").alias("copies"))
+    )
+    return running_total(copies, [value], "copies", "_upto").select(
+        value, "copies", (F.col("_upto") - (F.col("copies") - 1) / 2.0).alias(rank)
     )
 
 
