@@ -18,7 +18,7 @@ def measured(table: DataFrame) -> DataFrame:
 
 def known_bytes(table: DataFrame) -> int:
     """Planner's size of a table; exact for a measured one."""
-    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(table: DataFrame) -> int:

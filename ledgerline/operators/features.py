@@ -102,10 +102,10 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def round_columns(df: DataFrame, digits: Mapping[str, int] | int) -> DataFrame:
-    """Round doubles half to even; an int applies to all double columns."""
+    """Round doubles by scaling and rounding half to even; an int applies to all double columns."""
     doubles = [c for c, t in df.dtypes if t == "double"]
     plan = {c: digits for c in doubles} if isinstance(digits, int) else dict(digits)
-    return df.withColumns({c: F.bround(F.col(c), n) for c, n in plan.items()})
+    return df.withColumns({c: F.rint(F.col(c) * 10.0**n) / 10.0**n for c, n in plan.items()})
 
 
 def label_table_join(df: DataFrame, code: str, labels: DataFrame, label: str, default: str = "Other") -> DataFrame:

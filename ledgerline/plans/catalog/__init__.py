@@ -1,12 +1,11 @@
 """Importing this package registers every query."""
 
 from ledgerline.plans.catalog import (  # noqa: F401
-    evaluation,
-    features,
-    learners,
-    quality,
-    samples,
     scans,
-    statistics,
+    quality,
+    features,
     summaries,
+    statistics,
+    samples,
+    evaluation,
 )

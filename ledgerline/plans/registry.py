@@ -13,7 +13,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 8) -> Callable[[Query], Query]:
     """Registers a query. The ``rounded`` columns are rounded on both sides, so that the
     order in which doubles are added does not show."""
     columns = rounded.split()
