@@ -1,10 +1,10 @@
-"""Exact quantiles with linear interpolation, without gathering a group in one task.
+"""Exact quantiles with linear interpolation, without gathering a large group in one task.
 
-The built-in ``percentile`` keeps one value-to-count map per group, so a group
-that holds a third of a large table does not fit. Here a mergeable sketch brackets
-each wanted rank, one pass counts the values inside the brackets and lumps the
-others together, and the rank is found in counts. The sketch decides how much is
-shuffled, never the result: a rank outside its bracket stops the job.
+A first pass counts each group and sketches it. Groups of a checked size go through the
+built-in ``percentile``, which keeps one value-to-count map per group. Beyond that size
+the sketch brackets each wanted rank, a second pass counts the values inside the brackets
+and lumps the others together, and the rank is found in those counts. The sketch decides
+how much is shuffled, never the result: a rank outside its bracket stops the job.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import nan_to_null
-from ledgerline.functions.sizing import measured
 
+SMALL_GROUP = 1_000_000  # values of a group that may share one buffer
 SKETCH_K = 2048
 BRACKET_MARGIN = 0.006  # more than four times the sketch's 99 % rank error at this k
 SKETCH_FANOUT = 256
@@ -74,6 +75,7 @@ def quantile_table(
     value: str,
     probabilities: Sequence[float],
     keys: Sequence[str] = (),
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """keys, ``n`` (non-null values) and ``q0..`` as linearly interpolated quantiles.
 
@@ -84,8 +86,24 @@ def quantile_table(
         raise ValueError("probabilities must ascend")
     keys = list(keys)
     base = df.select(*keys, nan_to_null(value).alias("_v")).where(F.col("_v").isNotNull())
-    bounds = measured(_brackets(base, keys, probs))
+    bounds = _brackets(base, keys, probs).persist(StorageLevel.MEMORY_AND_DISK)
+    largest = bounds.agg(F.max("_n")).first()[0] or 0  # fills the cache, so its size is known
+    if largest <= small_group:
+        return _buffered(base, keys, probs)
+    return _ranked(base, bounds, keys, probs)
+
+
+def _buffered(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """One buffer per group; for groups of a checked size."""
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    found = base.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile("_v", wanted).alias("_q"))
+    return found.where(F.col("n") > 0).select(
+        *keys, "n", *[F.col("_q")[i].alias(q) for i, q in enumerate(quantile_names(probs))]
+    )
+
 
+def _ranked(base: DataFrame, bounds: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Ranks found in counts of bracketed values; for groups of any size."""
     if keys:
         # Null is a group of its own, as in groupBy.
         match = reduce(lambda a, b: a & b, [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
@@ -94,9 +112,6 @@ def quantile_table(
         )
     else:
         row = bounds.first()
-        if row is None:
-            empty = ", ".join(["n bigint", *[f"{q} double" for q in quantile_names(probs)]])
-            return df.sparkSession.createDataFrame([], empty)
         tagged = base.withColumns({name: F.lit(row[name]) for name in bounds.columns})
 
     slot, inside = _slot(len(probs))

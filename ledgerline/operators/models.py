@@ -52,6 +52,7 @@ from ledgerline.session import use_checkpoints
 
 FEATURES = "features"
 PREDICTION = "prediction"
+VANISHING = 1e-10
 NORMAL_SOLVER_FEATURES = 4096  # MLlib's own limit for the normal equations
 
 
@@ -71,9 +72,12 @@ class Preprocessing:
     one_hot: bool = True
     forbidden: Sequence[str] = field(default=())
 
+    def columns(self) -> list[str]:
+        return [*self.numeric, *self.categorical, *self.passthrough]
+
     def stages(self) -> list[Estimator | Transformer]:
         """Imputers, scaler, encoders and the final vector."""
-        leakage_guard([*self.numeric, *self.categorical, *self.passthrough], self.forbidden)
+        leakage_guard(self.columns(), self.forbidden)
         stages: list[Estimator | Transformer] = []
         numeric, categorical = list(self.numeric), list(self.categorical)
         if numeric and self.numeric_fill == "median":
@@ -110,7 +114,8 @@ def assemble(train: DataFrame, preprocessing: Preprocessing) -> PipelineModel:
 
 
 @contextmanager
-def _kept(df: DataFrame):
+def kept(df: DataFrame):
+    """Rows that are scanned several times, in memory then on disk, for the length of a block."""
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield cached
@@ -119,15 +124,18 @@ def _kept(df: DataFrame):
 
 
 def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: str,
-              after: Sequence[Transformer] = ()) -> PipelineModel:
-    """Preprocessing, then the learner on the persisted vectors, as one saveable model."""
+              after: Sequence[Transformer] = (), weight: str | None = None) -> PipelineModel:
+    """Preprocessing and learner fitted on the same kept rows, as one saveable model.
+
+    ``learner`` is an estimator, or a function that makes one from the prepared rows.
+    """
     use_checkpoints(train.sparkSession)
-    prepared = assemble(train, preprocessing)
-    vectors = prepared.transform(train.where(F.col(target).isNotNull()))
-    extra = [c for c in ("weight",) if c in vectors.columns]
-    with _kept(vectors.select(FEATURES, F.col(target), *extra)) as rows:
-        estimator = learner(rows) if callable(learner) and not isinstance(learner, Estimator) else learner
-        fitted = estimator.fit(rows)
+    needed = dict.fromkeys([*preprocessing.columns(), target, *([weight] if weight else [])])
+    with kept(train.where(F.col(target).isNotNull()).select(*needed)) as rows:
+        prepared = assemble(rows, preprocessing)
+        vectors = prepared.transform(rows)
+        estimator = learner if isinstance(learner, Estimator) else learner(vectors)
+        fitted = estimator.fit(vectors)
     return PipelineModel([*prepared.stages, fitted, *after])
 
 
@@ -149,13 +157,15 @@ def baseline_constant(train: DataFrame, test: DataFrame, target: str, kind: str
 
 
 def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str) -> PipelineModel:
-    """Ordinary least squares."""
-    learner = LinearRegression(featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION,
-                               regParam=0.0, solver="auto")
-    return fit_model(train, preprocessing, learner, target)
+    """Ordinary least squares.
+
+    Full one-hot groups beside an intercept are linearly dependent, so this is the limit of
+    a vanishing penalty, which is the least-squares solution of smallest norm.
+    """
+    return fit_ridge(train, preprocessing, target, alpha=None)
 
 
-def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha: float = 10.0,
+def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha: float | None = 10.0,
               log_target: bool = False, fit_intercept: bool = True) -> PipelineModel:
     """Least squares with ``alpha * |w|^2`` added to the sum of squares.
 
@@ -171,9 +181,10 @@ def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha
         normal = size <= NORMAL_SOLVER_FEATURES
         spread = F.stddev_pop(label) if normal else F.stddev_samp(label)
         n, deviation = rows.agg(F.count(label), spread).first()
+        penalty = VANISHING if alpha is None else alpha / n
         return LinearRegression(
             featuresCol=FEATURES, labelCol=label, predictionCol=output, elasticNetParam=0.0,
-            regParam=alpha / n * (deviation or 1.0), standardization=False,
+            regParam=penalty * (deviation or 1.0), standardization=False,
             fitIntercept=fit_intercept, solver="normal" if normal else "l-bfgs",
         )
 
@@ -221,12 +232,13 @@ def fit_forest_multi(train: DataFrame, preprocessing: Preprocessing, targets: Se
                      max_bins: int = 320) -> PipelineModel:
     """One forest per target on the same persisted vectors; columns ``<target>_prediction``."""
     use_checkpoints(train.sparkSession)
-    prepared = assemble(train, preprocessing)
     forests = []
-    with _kept(prepared.transform(train).select(FEATURES, *targets)) as rows:
+    with kept(train.select(*dict.fromkeys([*preprocessing.columns(), *targets]))) as rows:
+        prepared = assemble(rows, preprocessing)
+        vectors = prepared.transform(rows)
         for target in targets:
             learner = random_forest(target, trees, depth, min_leaf, max_bins, prediction=f"{target}_prediction")
-            forests.append(learner.fit(rows.where(F.col(target).isNotNull())))
+            forests.append(learner.fit(vectors.where(F.col(target).isNotNull())))
     return PipelineModel([*prepared.stages, *forests])
 
 
@@ -310,7 +322,7 @@ def evaluate_bundles(train: DataFrame, test: DataFrame, bundles: Mapping[str, Bu
                      total: str | None = None) -> DataFrame:
     """Per target: kind, metrics, baseline MAE, and F1 or accuracy where they apply; plus the total."""
     scored = predict_bundles(bundles, test)
-    with _kept(scored) as predicted:
+    with kept(scored) as predicted:
         table = multi_target_eval(predicted, {t: f"{t}_prediction" for t in bundles}, total)
         rows = {r["target"]: r.asDict() for r in table.collect()}
         for target, bundle in bundles.items():
@@ -347,13 +359,15 @@ def compare_models(train: DataFrame, test: DataFrame, target: str,
                    variants: Mapping[str, Callable[[DataFrame], Transformer]]) -> DataFrame:
     """experiment, metrics, fit_seconds and predict_seconds of each variant on the same split."""
     rows = []
-    for name, fit in variants.items():
-        started = time.perf_counter()
-        model = fit(train)
-        fit_seconds = time.perf_counter() - started
-        started = time.perf_counter()
-        metrics = regression_metrics(model.transform(test), target, PREDICTION).first()
-        rows.append((name, *metrics, fit_seconds, time.perf_counter() - started))
+    with kept(train) as train_rows, kept(test) as test_rows:
+        for name, fit in variants.items():
+            started = time.perf_counter()
+            model = fit(train_rows)
+            fit_seconds = time.perf_counter() - started
+            started = time.perf_counter()
+            with kept(model.transform(test_rows).select(target, PREDICTION)) as scored:
+                metrics = regression_metrics(scored, target, PREDICTION).first()
+            rows.append((name, *metrics, fit_seconds, time.perf_counter() - started))
     return train.sparkSession.createDataFrame(
         rows,
         "experiment string, row_count long, mae double, rmse double, median_ae double, r2 double, "
@@ -376,19 +390,22 @@ def per_target_benchmark(train: DataFrame, test: DataFrame, targets: Sequence[st
                          fit: Callable[[DataFrame, str], Transformer]) -> DataFrame:
     """The same features for each target; unknown answers are left out, never filled."""
     rows = []
-    for target in targets:
-        train_valid, test_valid = train.where(F.col(target).isNotNull()), test.where(F.col(target).isNotNull())
-        facts = test_valid.agg(
-            F.count("*"), F.avg(target), F.avg((F.col(target) != 0).cast("int"))
-        ).first()
-        train_rows = train_valid.count()
-        if not train_rows or not facts[0]:
-            raise ValueError(f"{target} has no known answers on a side")
-        started = time.perf_counter()
-        model = fit(train_valid, target)
-        seconds = time.perf_counter() - started
-        m = regression_metrics(model.transform(test_valid), target, PREDICTION).first()
-        rows.append((target, train_rows, *facts, m["mae"], m["rmse"], m["median_ae"], m["r2"], seconds))
+    with kept(train) as train_rows, kept(test) as test_rows:
+        for target in targets:
+            known = F.col(target).isNotNull()
+            train_valid, test_valid = train_rows.where(known), test_rows.where(known)
+            facts = test_valid.agg(
+                F.count("*"), F.avg(target), F.avg((F.col(target) != 0).cast("int"))
+            ).first()
+            train_count = train_valid.count()
+            if not train_count or not facts[0]:
+                raise ValueError(f"{target} has no known answers on a side")
+            started = time.perf_counter()
+            model = fit(train_valid, target)
+            seconds = time.perf_counter() - started
+            with kept(model.transform(test_valid).select(target, PREDICTION)) as scored:
+                m = regression_metrics(scored, target, PREDICTION).first()
+            rows.append((target, train_count, *facts, m["mae"], m["rmse"], m["median_ae"], m["r2"], seconds))
     return train.sparkSession.createDataFrame(
         rows,
         "target string, train_rows long, test_rows long, test_mean double, test_nonzero_rate double, "
@@ -403,14 +420,17 @@ def cross_validate(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
     Preprocessing and model are refitted on each fold's training rows. ``total`` compares
     the summed predictions with the summed targets.
     """
-    folded = kfold_assign(df, ids, folds).withColumn(total, row_sum(targets))
-    scores = None
-    for k in range(folds):
-        model = fit(folded.where(F.col("fold") != k).drop("fold"))
-        predicted = model.transform(folded.where(F.col("fold") == k))
-        part = multi_target_eval(predicted, {t: f"{t}_prediction" for t in targets}, total)
-        scores = part if scores is None else scores.unionByName(part)
-    return scores.groupBy("target").agg(
+    rows = []
+    with kept(kfold_assign(df, ids, folds).withColumn(total, row_sum(targets))) as folded:
+        for k in range(folds):
+            model = fit(folded.where(F.col("fold") != k).drop("fold"))
+            predicted = model.transform(folded.where(F.col("fold") == k))
+            scores = multi_target_eval(predicted, {t: f"{t}_prediction" for t in targets}, total)
+            rows += [(k, *r) for r in scores.collect()]  # one row per target and fold
+    per_fold = df.sparkSession.createDataFrame(
+        rows, "fold int, target string, row_count long, mae double, rmse double, r2 double"
+    )
+    return per_fold.groupBy("target").agg(
         F.count("*").alias("folds"),
         F.sum("row_count").alias("row_count"),
         F.avg("r2").alias("r2_mean"),
@@ -431,8 +451,8 @@ def high_value_classifier(train: DataFrame, test: DataFrame, preprocessing: Prep
         weighted = weighted.withColumn("weight", F.when(F.col(label) == 1.0, up).otherwise(down))
     learner = LogisticRegression(featuresCol=FEATURES, labelCol=label, predictionCol=PREDICTION,
                                  **({"weightCol": "weight"} if balanced else {}))
-    model = fit_model(weighted, preprocessing, learner, label)
-    with _kept(model.transform(test.withColumn(label, F.col(label).cast("double")))) as scored:
+    model = fit_model(weighted, preprocessing, learner, label, weight="weight" if balanced else None)
+    with kept(model.transform(test.withColumn(label, F.col(label).cast("double")))) as scored:
         auc = BinaryClassificationEvaluator(labelCol=label).evaluate(scored)
         hit = F.count_if((F.col(label) == 1) & (F.col(PREDICTION) == 1))
         row = scored.agg(
@@ -505,7 +525,7 @@ def train_or_reuse(train: DataFrame, kinds: Mapping[str, str], preprocessing: Pr
                    **options) -> tuple[dict[str, Bundle], str]:
     """Saved bundles when there are matching ones, else newly trained and saved."""
     spark = train.sparkSession
-    features = [*preprocessing.numeric, *preprocessing.categorical, *preprocessing.passthrough]
+    features = preprocessing.columns()
     if _exists(spark, f"{path}/manifest"):
         return load_bundles(spark, path, list(kinds), features), "loaded"
     bundles = {t: FITTERS[kind](train, preprocessing, t, **options) for t, kind in kinds.items()}

@@ -8,4 +8,5 @@ from ledgerline.plans.catalog import (  # noqa: F401
     statistics,
     samples,
     evaluation,
+    learners,
 )
