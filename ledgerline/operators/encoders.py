@@ -12,7 +12,16 @@ from functools import reduce
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +38,52 @@ class _Columns(Params):
         return list(self.getOrDefault(self.inputCols))
 
 
+class _TableWriter(MLWriter):
+    def __init__(self, model: "_TableModel") -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        spark = self.sparkSession
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, {"tables": sorted(self.model.tables)})
+        for name, table in self.model.tables.items():
+            table.write.parquet(f"{path}/tables/{name}")
+
+
+class _TableReader(MLReader):
+    def __init__(self, kind: type) -> None:
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str) -> "_TableModel":
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        tables = {
+            name: measured(self.sparkSession.read.parquet(f"{path}/tables/{name}")) for name in metadata["tables"]
+        }
+        model = self.kind(tables=tables)
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+class _TableModel(Model, _Columns, MLWritable, MLReadable):
+    """A model whose state is one row per category; saved as Parquet beside its params."""
+
+    suffix = Param(Params._dummy(), "suffix", "ending of the output columns", TypeConverters.toString)
+
+    def __init__(self, columns: Sequence[str] = (), tables: dict[str, DataFrame] | None = None,
+                 suffix: str = "") -> None:
+        super().__init__()
+        self._set(inputCols=list(columns), suffix=suffix)
+        self.tables = dict(tables or {})
+
+    def write(self) -> MLWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _TableReader(cls)
+
+
 class FillModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Fills null from fitted values; flag columns mark what was null."""
 
@@ -191,16 +246,17 @@ class CategoryEncoder(Estimator, _Columns):
         counts = _long_counts(df, self.columns())
         rare = F.col("train_rows") < (self.min_frequency or 0)
         table = counts.withColumn("mapped", F.when(rare, F.lit(self.INFREQUENT)).otherwise(F.col("category")))
-        return CategoryModel(self.columns(), measured(table))
+        return CategoryModel(self.columns(), {"categories": measured(table)})
 
 
-class CategoryModel(Model, _Columns):
-    def __init__(self, columns: Sequence[str], table: DataFrame) -> None:
-        super().__init__()
-        self._set(inputCols=list(columns))
-        self.table = table
-        rare = table.where(F.col("mapped") != F.col("category")).select("column").distinct()
-        self.rare_columns = {r["column"] for r in rare.collect()}
+class CategoryModel(_TableModel):
+    @property
+    def table(self) -> DataFrame:
+        return self.tables["categories"]
+
+    def rare_columns(self) -> set[str]:
+        rare = self.table.where(F.col("mapped") != F.col("category")).select("column").distinct()
+        return {r["column"] for r in rare.collect()}
 
     def vocabulary(self) -> DataFrame:
         """column, mapped category, training rows, slot (alphabetical position in its column)."""
@@ -211,13 +267,14 @@ class CategoryModel(Model, _Columns):
         )
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        with_rare = self.rare_columns()
         for c in self.columns():
             part = self.table.where(F.col("column") == c).select(
                 F.col("category").alias("_category"), F.col("mapped").alias("_mapped")
             )
             joined = lookup_join(df.withColumn("_category", F.col(c).cast("string")), part, ["_category"])
             mapped = F.col("_mapped")
-            if c in self.rare_columns:
+            if c in with_rare:
                 mapped = F.coalesce(
                     mapped, F.when(F.col("_category").isNotNull(), F.lit(CategoryEncoder.INFREQUENT))
                 )
@@ -251,17 +308,12 @@ class OrdinalEncoder(Estimator, _Columns):
         return OrdinalModel(self.columns(), tables, self.suffix)
 
 
-class OrdinalModel(Model, _Columns):
-    def __init__(self, columns: Sequence[str], tables: dict[str, DataFrame], suffix: str) -> None:
-        super().__init__()
-        self._set(inputCols=list(columns))
-        self.tables, self.suffix = tables, suffix
-
+class OrdinalModel(_TableModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         for c in self.columns():
             joined = lookup_join(df.withColumn("_category", F.col(c)), self.tables[c], ["_category"])
             index = F.when(F.col(c).isNotNull(), F.coalesce("_index", F.lit(-1)))
-            df = joined.withColumn(f"{c}{self.suffix}", index).drop("_category", "_index")
+            df = joined.withColumn(c + self.getOrDefault(self.suffix), index).drop("_category", "_index")
         return df
 
 
@@ -293,7 +345,7 @@ class TargetEncoder(Estimator, _Columns):
                     "_category", encoding.alias("_encoding")
                 )
             )
-        return TargetModel(self.columns(), tables, float(overall["mean"]), self.suffix)
+        return TargetModel(self.columns(), tables, self.suffix, float(overall["mean"]))
 
     def fit_transform_crossfit(
         self, df: DataFrame, ids: Sequence[str], folds: int = 5, seed: int = 42
@@ -350,16 +402,19 @@ def _shrunk(n: str, mean: str, var: str, global_mean: Column, global_var: Column
     return F.when(F.col(n) > 0, weight * F.col(mean) + (1 - weight) * global_mean).otherwise(global_mean)
 
 
-class TargetModel(Model, _Columns):
-    def __init__(self, columns: Sequence[str], tables: dict[str, DataFrame], mean: float, suffix: str) -> None:
-        super().__init__()
-        self._set(inputCols=list(columns))
-        self.tables, self.mean, self.suffix = tables, mean, suffix
+class TargetModel(_TableModel):
+    overallMean = Param(Params._dummy(), "overallMean", "training mean", TypeConverters.toFloat)
+
+    def __init__(self, columns: Sequence[str] = (), tables: dict[str, DataFrame] | None = None,
+                 suffix: str = "", mean: float = 0.0) -> None:
+        super().__init__(columns, tables, suffix)
+        self._set(overallMean=mean)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        mean = F.lit(self.getOrDefault(self.overallMean))
         for c in self.columns():
             joined = lookup_join(df.withColumn("_category", F.col(c)), self.tables[c], ["_category"])
             df = joined.withColumn(
-                f"{c}{self.suffix}", F.coalesce("_encoding", F.lit(self.mean))
+                c + self.getOrDefault(self.suffix), F.coalesce("_encoding", mean)
             ).drop("_category", "_encoding")
         return df

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.expressions import row_sum
 from ledgerline.functions.quantiles import median_value
 from ledgerline.operators.encoders import (
+    CategoryEncoder,
     ConstantImputer,
     MedianImputer,
     ModeImputer,
@@ -70,6 +71,7 @@ class Preprocessing:
     categorical_fill: str | float | None = "mode"
     scale: bool = True
     one_hot: bool = True
+    min_frequency: int | None = None
     forbidden: Sequence[str] = field(default=())
 
     def columns(self) -> list[str]:
@@ -92,6 +94,8 @@ class Preprocessing:
                 stages.append(ModeImputer(categorical))
             elif self.categorical_fill is not None:
                 stages.append(ConstantImputer(categorical, self.categorical_fill))
+            if self.min_frequency:
+                stages.append(CategoryEncoder(categorical, self.min_frequency))
             indexed = [f"{c}__index" for c in categorical]
             stages.append(StringIndexer(
                 inputCols=categorical, outputCols=indexed,
