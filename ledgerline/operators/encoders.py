@@ -84,6 +84,20 @@ class _TableModel(Model, _Columns, MLWritable, MLReadable):
         return _TableReader(cls)
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def _filled(column: str, value: str, kind: str) -> Column:
+    """Null replaced; an integer column becomes double when the value has a fraction."""
+    if kind not in INTEGRAL:
+        return F.coalesce(F.col(column), F.lit(value).cast(kind))
+    number = float(value)
+    if not number.is_integer():
+        return F.coalesce(F.col(column).cast("double"), F.lit(number))
+    whole = int(value) if value.lstrip("-").isdigit() else int(number)
+    return F.coalesce(F.col(column), F.lit(whole).cast(kind))
+
+
 class FillModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Fills null from fitted values; flag columns mark what was null."""
 
@@ -100,9 +114,7 @@ class FillModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         types = dict(df.dtypes)
-        new = {
-            c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in self.values().items() if v is not None
-        }
+        new = {c: _filled(c, v, types[c]) for c, v in self.values().items() if v is not None}
         for c in self.getOrDefault(self.flagCols):
             new[f"{c}_missing"] = F.col(c).isNull().cast("int")
         return df.withColumns(new)
@@ -129,14 +141,16 @@ class MedianImputer(Estimator, _Columns):
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value per column, the smallest on a tie.
 
-    Counted per (column, value) with map-side combine; numbers and text in one pass each.
+    Counted per (column, value) with map-side combine; text, integers and doubles in one
+    pass each.
     """
     types = dict(df.dtypes)
     modes: dict[str, object] = {c: None for c in columns}
-    text = [c for c in columns if types[c] == "string"]
-    for group, kind in ((text, "STRING"), ([c for c in columns if c not in text], "DOUBLE")):
-        if not group:
-            continue
+    groups: dict[str, list[str]] = {}
+    for c in columns:
+        kind = "STRING" if types[c] == "string" else "BIGINT" if types[c] in INTEGRAL else "DOUBLE"
+        groups.setdefault(kind, []).append(c)
+    for kind, group in groups.items():
         pairs = ", ".join(f"'{c}', CAST(`{c}` AS {kind})" for c in group)
         counted = (
             df.selectExpr(f"stack({len(group)}, {pairs}) AS (column, value)")

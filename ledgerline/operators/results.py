@@ -45,9 +45,9 @@ def result_violations(records: DataFrame, author: str | None = None) -> DataFram
     problems += [check(F.col(c) == "", f"{c} is empty") for c in ("experiment_id", "author")]
     if author is not None:
         problems.append(check(F.col(author) != F.col("author"), "author differs from its folder"))
-    return records.select(
-        "experiment_id", "author", F.explode(F.array_compact(F.array(*problems))).alias("problem")
-    )
+    # The checks read nested fields, so they are columns before the generator reads them.
+    checked = records.select("experiment_id", "author", F.array_compact(F.array(*problems)).alias("problems"))
+    return checked.select("experiment_id", "author", F.explode("problems").alias("problem"))
 
 
 def require_valid_results(records: DataFrame, author: str | None = None) -> None:
@@ -129,14 +129,12 @@ def metrics_record(
     ``band_metrics``.
     """
     record = metrics.select(F.struct(*METRICS).alias("metrics"))
-    if bands is not None:
-        listed = bands.select(
-            F.lit(0).alias("_one"),
-            F.struct(F.col("band").alias("fare_band"), F.col("row_count").alias("rows"), *METRICS).alias("_band"),
-        ).groupBy("_one").agg(F.sort_array(F.collect_list("_band")).alias("fare_bands"))
-        record = record.withColumn("_one", F.lit(0)).join(listed, "_one", "left").drop("_one")
+    if bands is None:
+        listed = F.lit(None).cast(RESULT_SCHEMA["fare_bands"].dataType)
     else:
-        record = record.withColumn("fare_bands", F.lit(None).cast(RESULT_SCHEMA["fare_bands"].dataType))
+        band = F.struct(F.col("band").alias("fare_band"), F.col("row_count").alias("rows"), *METRICS)
+        listed = bands.agg(F.sort_array(F.collect_list(band))).scalar()
+    record = record.withColumn("fare_bands", listed)
     return record.select(
         F.lit(experiment_id).alias("experiment_id"),
         F.lit(author).alias("author"),

@@ -29,4 +29,4 @@ def save_results(records: DataFrame, path: str) -> DataFrame:
     """Validated result records under ``author=<author>/``, so a path never holds another author's."""
     require_valid_results(records)
     records.withColumn("_folder", records["author"]).write.mode("overwrite").partitionBy("_folder").json(path)
-    return records.sparkSession.read.schema(RESULT_SCHEMA).json(path)
+    return records.sparkSession.read.schema(RESULT_SCHEMA).json(path).drop("_folder")
