@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import nan_to_null
 
-SMALL_GROUP = 1_000_000  # values of a group that may share one buffer
+SMALL_GROUP = 100_000  # values of a group that may share one buffer
 SKETCH_K = 2048
 BRACKET_MARGIN = 0.006  # more than four times the sketch's 99 % rank error at this k
 SKETCH_FANOUT = 256

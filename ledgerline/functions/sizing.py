@@ -8,12 +8,34 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MIN_BYTES_PER_CORE = 16 << 20
+
 
 def measured(table: DataFrame) -> DataFrame:
     """Cache a small aggregate and count it, so that its true size is known."""
+    return measured_rows(table)[0]
+
+
+def measured_rows(table: DataFrame) -> tuple[DataFrame, int]:
+    """The cached aggregate and its row count."""
     cached = table.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    return cached
+    return cached, cached.count()
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of everything the plan reads, from file metadata."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, where the input is too small to be split that far by itself.
+
+    An iterative learner works on as many tasks as there are partitions, and one small file
+    gives one. Inputs of some size keep their own splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scanned_bytes(df) < cores * MIN_BYTES_PER_CORE else df
 
 
 def known_bytes(table: DataFrame) -> int:

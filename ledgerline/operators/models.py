@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import row_sum
 from ledgerline.functions.quantiles import median_value
+from ledgerline.functions.sizing import spread
 from ledgerline.operators.encoders import (
     CategoryEncoder,
     ConstantImputer,
@@ -135,7 +136,7 @@ def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: s
     """
     use_checkpoints(train.sparkSession)
     needed = dict.fromkeys([*preprocessing.columns(), target, *([weight] if weight else [])])
-    with kept(train.where(F.col(target).isNotNull()).select(*needed)) as rows:
+    with kept(spread(train.where(F.col(target).isNotNull()).select(*needed))) as rows:
         prepared = assemble(rows, preprocessing)
         vectors = prepared.transform(rows)
         estimator = learner if isinstance(learner, Estimator) else learner(vectors)
@@ -237,7 +238,7 @@ def fit_forest_multi(train: DataFrame, preprocessing: Preprocessing, targets: Se
     """One forest per target on the same persisted vectors; columns ``<target>_prediction``."""
     use_checkpoints(train.sparkSession)
     forests = []
-    with kept(train.select(*dict.fromkeys([*preprocessing.columns(), *targets]))) as rows:
+    with kept(spread(train.select(*dict.fromkeys([*preprocessing.columns(), *targets])))) as rows:
         prepared = assemble(rows, preprocessing)
         vectors = prepared.transform(rows)
         for target in targets:
@@ -363,7 +364,7 @@ def compare_models(train: DataFrame, test: DataFrame, target: str,
                    variants: Mapping[str, Callable[[DataFrame], Transformer]]) -> DataFrame:
     """experiment, metrics, fit_seconds and predict_seconds of each variant on the same split."""
     rows = []
-    with kept(train) as train_rows, kept(test) as test_rows:
+    with kept(spread(train)) as train_rows, kept(test) as test_rows:
         for name, fit in variants.items():
             started = time.perf_counter()
             model = fit(train_rows)
@@ -394,7 +395,7 @@ def per_target_benchmark(train: DataFrame, test: DataFrame, targets: Sequence[st
                          fit: Callable[[DataFrame, str], Transformer]) -> DataFrame:
     """The same features for each target; unknown answers are left out, never filled."""
     rows = []
-    with kept(train) as train_rows, kept(test) as test_rows:
+    with kept(spread(train)) as train_rows, kept(test) as test_rows:
         for target in targets:
             known = F.col(target).isNotNull()
             train_valid, test_valid = train_rows.where(known), test_rows.where(known)
@@ -425,7 +426,7 @@ def cross_validate(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
     the summed predictions with the summed targets.
     """
     rows = []
-    with kept(kfold_assign(df, ids, folds).withColumn(total, row_sum(targets))) as folded:
+    with kept(spread(kfold_assign(df, ids, folds).withColumn(total, row_sum(targets)))) as folded:
         for k in range(folds):
             model = fit(folded.where(F.col("fold") != k).drop("fold"))
             predicted = model.transform(folded.where(F.col("fold") == k))

@@ -10,35 +10,42 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.hashing import HASH_BITS, split_hash
 
-BUCKET_BITS = 18  # 262,144 counters; the boundary bucket holds 1/262,144 of the rows
+MAX_BUCKET_BITS = 18  # at most 262,144 counters
+BUCKET_ROWS = 1 << 15  # rows wanted in a bucket, as long as there are bits
 
 
-def _buckets(df: DataFrame, ids: Sequence[str], seed: int) -> DataFrame:
+def _bucket_bits(total: int) -> int:
+    return min(MAX_BUCKET_BITS, max(1, (total // BUCKET_ROWS).bit_length()))
+
+
+def _buckets(df: DataFrame, ids: Sequence[str], seed: int, bits: int) -> DataFrame:
     """Rows per leading hash bits with running totals (at most 2^18 rows)."""
-    coarse = F.shiftright(split_hash(ids, seed), HASH_BITS - BUCKET_BITS)
+    coarse = F.shiftright(split_hash(ids, seed), HASH_BITS - bits)
     counts = df.groupBy(coarse.alias("_bucket")).agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(Window.orderBy("_bucket"))
     return counts.withColumn("_before", upto - F.col("_n"))
 
 
-def first_by_hash(df: DataFrame, ids: Sequence[str], count: int, seed: int) -> Column:
+def first_by_hash(
+    df: DataFrame, ids: Sequence[str], count: int, seed: int, total: int | None = None
+) -> Column:
     """Condition that holds for exactly the ``count`` rows with the smallest (hash, ids).
 
     Leading hash bits are counted, then only the bucket with the boundary row is sorted.
     The result is a comparison with that row, so rows are chosen without a global sort.
-    ``ids`` must identify rows.
+    ``ids`` must identify rows; ``total`` is the row count where it is known.
     """
-    if count <= 0:
-        return F.lit(False)
+    total = df.count() if total is None else total
+    if count <= 0 or count >= total:
+        return F.lit(count > 0)
+    bits = _bucket_bits(total)
     boundary = (
-        _buckets(df, ids, seed)
+        _buckets(df, ids, seed, bits)
         .where((F.col("_before") < count) & (F.col("_before") + F.col("_n") >= count))
         .first()
     )
-    if boundary is None:  # fewer rows than asked for
-        return F.lit(True)
     hashed = split_hash(ids, seed)
-    coarse = F.shiftright(hashed, HASH_BITS - BUCKET_BITS)
+    coarse = F.shiftright(hashed, HASH_BITS - bits)
     inside = df.where(coarse == boundary["_bucket"]).select(hashed.alias("_h"), *ids)
     order = Window.orderBy("_h", *ids)
     edge = (
@@ -64,7 +71,7 @@ def random_split_exact(
     """Adds ``split``: exactly ceil(test_size * n) test rows, the same for any data layout."""
     total = df.count()
     count = math.ceil(round(test_size * total, 9))
-    return df.withColumn(split, split_column(first_by_hash(df, ids, count, seed)))
+    return df.withColumn(split, split_column(first_by_hash(df, ids, count, seed, total)))
 
 
 def random_split_hash(
@@ -111,8 +118,8 @@ def temporal_split_sample(
     train_n = min(int(n * 0.8), pools["train"])
     test_n = min(n - train_n, pools["test"])
     train, test = marked.where(F.col(split) == "train"), marked.where(F.col(split) == "test")
-    chosen = ((F.col(split) == "train") & first_by_hash(train, ids, train_n, seed)) | (
-        (F.col(split) == "test") & first_by_hash(test, ids, test_n, seed)
+    chosen = ((F.col(split) == "train") & first_by_hash(train, ids, train_n, seed, pools["train"])) | (
+        (F.col(split) == "test") & first_by_hash(test, ids, test_n, seed, pools["test"])
     )
     return marked.where(chosen)
 

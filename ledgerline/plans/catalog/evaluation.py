@@ -41,7 +41,7 @@ _BAND = "CASE WHEN value < 30 THEN 'under_30' WHEN value < 60 THEN '30_to_60' WH
 def predicted(spark, folder):
     rows = events_split(spark, folder)
     train, test = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
-    scored = joins.apply_group_stats(train, test, "user_id", "value")
+    scored = joins.apply_group_stats(train, test, "user_id", {"prediction": "value"})
     return models.baseline_constant(train, scored, "value", "mean", "baseline")
 
 
@@ -149,8 +149,7 @@ trip_filled AS (
 def trip_predicted(spark, folder):
     rows = random_split_hash(trip(spark, folder), TRIP_IDS)
     train, test = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
-    scored = joins.apply_group_stats(train, test, "l_partkey", "net", "net_prediction")
-    return joins.apply_group_stats(train, scored, "l_partkey", "tax", "tax_prediction")
+    return joins.apply_group_stats(train, test, "l_partkey", {"net_prediction": "net", "tax_prediction": "tax"})
 
 
 def _pair_sql(name: str, actual: str, prediction: str) -> str:

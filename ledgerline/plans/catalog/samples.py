@@ -8,6 +8,7 @@ from ledgerline.operators import encoders as enc
 from ledgerline.operators import filters as flt
 from ledgerline.operators import joins
 from ledgerline.operators import splits as sp
+from ledgerline.operators.models import kept
 from ledgerline.plans.bindings import (
     EVENT_HASH_SQL,
     EVENTS_SPLIT_SQL,
@@ -136,7 +137,9 @@ FROM trip_split
 def impute_median_indicator(spark, folder):
     rows = trip_split(spark, folder).select(*TRIP_IDS, "split", "l_quantity", "l_tax", "l_discount")
     imputer = enc.MedianImputer(["l_quantity", "l_tax", "l_discount"])
-    return imputer.fit(rows.where(F.col("split") == "train")).transform(rows)
+    with kept(rows.where(F.col("split") == "train").select(*imputer.columns())) as train:
+        fitted = imputer.fit(train)
+    return fitted.transform(rows)
 
 
 @query("impute_mode", f"""
@@ -270,4 +273,4 @@ def apply_group_stats(spark, folder):
     rows = events_split(spark, folder)
     train = rows.where((F.col("split") == "train") & (F.col("user_id") % 10 != 3))
     test = rows.where(F.col("split") == "test")
-    return joins.apply_group_stats(train, test, "user_id", "value").select("event_id", "prediction")
+    return joins.apply_group_stats(train, test, "user_id", {"prediction": "value"}).select("event_id", "prediction")

@@ -62,7 +62,8 @@ def test_columns_together(spark, frame):
     assert np.isclose(got["w"], 2 * got["v"])
 
 
-def test_running_total(spark):
+@pytest.mark.parametrize("small_table", [0, 10**6])
+def test_running_total(spark, small_table):
     df = spark.range(1000).select(F.col("id").alias("v"), (F.col("id") % 3).alias("n")).repartition(7)
-    got = running_total(df, ["v"], "n", "upto").orderBy("v").collect()
+    got = running_total(df, ["v"], "n", "upto", small_table).orderBy("v").collect()
     assert [r["upto"] for r in got] == np.cumsum([i % 3 for i in range(1000)]).tolist()
