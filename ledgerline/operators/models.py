@@ -167,7 +167,8 @@ def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str) -> P
     Full one-hot groups beside an intercept are linearly dependent, so this is the limit of
     a vanishing penalty, which is the least-squares solution of smallest norm.
     """
-    return fit_ridge(train, preprocessing, target, alpha=None)
+    dependent = bool(preprocessing.categorical) and preprocessing.one_hot
+    return fit_ridge(train, preprocessing, target, alpha=None if dependent else 0.0)
 
 
 def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha: float | None = 10.0,

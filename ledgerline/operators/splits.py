@@ -8,22 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.hashing import HASH_BITS, split_hash
+from ledgerline.functions.hashing import split_hash, split_key
 
-MAX_BUCKET_BITS = 18  # at most 262,144 counters
-BUCKET_ROWS = 1 << 15  # rows wanted in a bucket, as long as there are bits
+MAX_BUCKET_DIGITS = 5  # at most 2^20 counters
+BUCKET_ROWS = 1 << 15  # rows wanted in a bucket, as long as there are digits
 
 
-def _bucket_bits(total: int) -> int:
-    return min(MAX_BUCKET_BITS, max(1, (total // BUCKET_ROWS).bit_length()))
-
-
-def _buckets(df: DataFrame, ids: Sequence[str], seed: int, bits: int) -> DataFrame:
-    """Rows per leading hash bits with running totals (at most 2^18 rows)."""
-    coarse = F.shiftright(split_hash(ids, seed), HASH_BITS - bits)
-    counts = df.groupBy(coarse.alias("_bucket")).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.orderBy("_bucket"))
-    return counts.withColumn("_before", upto - F.col("_n"))
+def _bucket_digits(total: int) -> int:
+    bits = (total // BUCKET_ROWS).bit_length()
+    return min(MAX_BUCKET_DIGITS, max(1, math.ceil(bits / 4)))
 
 
 def first_by_hash(
@@ -31,34 +24,33 @@ def first_by_hash(
 ) -> Column:
     """Condition that holds for exactly the ``count`` rows with the smallest (hash, ids).
 
-    Leading hash bits are counted, then only the bucket with the boundary row is sorted.
-    The result is a comparison with that row, so rows are chosen without a global sort.
-    ``ids`` must identify rows; ``total`` is the row count where it is known.
+    Rows are counted by leading hash digits, then only the bucket with the boundary row is
+    sorted. The result is a comparison with that row, so rows are chosen without a global
+    sort. ``ids`` must identify rows; ``total`` is the row count where it is known.
     """
     total = df.count() if total is None else total
     if count <= 0 or count >= total:
         return F.lit(count > 0)
-    bits = _bucket_bits(total)
+    key = split_key(ids, seed)
+    prefix = F.substring(key, 1, _bucket_digits(total))
+    counts = df.groupBy(prefix.alias("_bucket")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
     boundary = (
-        _buckets(df, ids, seed, bits)
+        counts.withColumn("_before", before)
         .where((F.col("_before") < count) & (F.col("_before") + F.col("_n") >= count))
         .first()
     )
-    hashed = split_hash(ids, seed)
-    coarse = F.shiftright(hashed, HASH_BITS - bits)
-    inside = df.where(coarse == boundary["_bucket"]).select(hashed.alias("_h"), *ids)
-    order = Window.orderBy("_h", *ids)
+    inside = df.select(key.alias("_h"), *ids).where(F.col("_h").startswith(boundary["_bucket"]))
     edge = (
-        inside.withColumn("_rank", F.row_number().over(order))
+        inside.withColumn("_rank", F.row_number().over(Window.orderBy("_h", *ids)))
         .where(F.col("_rank") == count - boundary["_before"])
         .first()
     )
-    key = F.struct(hashed.alias("_h"), *ids)
     types = dict(df.dtypes)
     last = F.struct(
         F.lit(edge["_h"]).alias("_h"), *[F.lit(edge[c]).cast(types[c]).alias(c) for c in ids]
     )
-    return key <= last
+    return F.struct(key.alias("_h"), *ids) <= last
 
 
 def split_column(test: Column) -> Column:

@@ -67,7 +67,7 @@ def assemble(spark, folder):
 @query("linear_regression", f"""
 WITH {_SPLIT_SQL}, line AS (SELECT regr_slope(amount, l_extendedprice) AS a, regr_intercept(amount, l_extendedprice) AS b FROM train)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a * l_extendedprice + b AS prediction FROM test, line
-""", rounded="prediction", digits=3)
+""", rounded="prediction", digits=2)
 def linear_regression(spark, folder):
     train, test = sides(spark, folder)
     one = m.Preprocessing(numeric=["l_extendedprice"])
@@ -80,7 +80,7 @@ fitted AS (SELECT avg(l_extendedprice) AS xm, stddev_pop(l_extendedprice) AS xs,
                   count(*) * covar_pop(amount, l_extendedprice) / stddev_pop(l_extendedprice) / (count(*) + 100.0) AS slope FROM train)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ym + slope * (l_extendedprice - xm) / xs AS prediction
 FROM test, fitted
-""", rounded="prediction", digits=3)
+""", rounded="prediction", digits=2)
 def ridge(spark, folder):
     train, test = sides(spark, folder)
     one = m.Preprocessing(numeric=["l_extendedprice"])
