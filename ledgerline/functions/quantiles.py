@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_, or_
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import nan_to_null
+from ledgerline.functions.sizing import fits_broadcast, measured
 
 SMALL_GROUP = 100_000  # values of a group that may share one buffer
 SKETCH_K = 2048
@@ -50,7 +52,7 @@ def _brackets(base: DataFrame, keys: list[str], probabilities: Sequence[float])
     return merged.where(F.col("_n") > 0).select(*keys, "_n", *edges)
 
 
-def _slot(count: int) -> tuple[F.Column, F.Column]:
+def _slot(count: int) -> tuple[Column, Column]:
     """Order-preserving slot number of ``_v`` and whether it lies inside a bracket."""
     width = SLOTS_PER_BRACKET
     inside = F.lit(False)
@@ -89,8 +91,22 @@ def quantile_table(
     bounds = _brackets(base, keys, probs).persist(StorageLevel.MEMORY_AND_DISK)
     largest = bounds.agg(F.max("_n")).first()[0] or 0  # fills the cache, so its size is known
     if largest <= small_group:
+        bounds.unpersist()
         return _buffered(base, keys, probs)
-    return _ranked(base, bounds, keys, probs)
+    if not keys or fits_broadcast(bounds):
+        return _ranked(base, bounds, keys, probs)
+    # Many groups, some of them large: only those are ranked.
+    large = measured(bounds.where(F.col("_n") > small_group))
+    return _ranked(base, large, keys, probs).unionByName(_buffered(_without(base, large, keys), keys, probs))
+
+
+def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Null is a group of its own, as in groupBy."""
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def _without(base: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return base.alias("_l").join(groups.alias("_r"), _same_keys("_l", "_r", keys), "left_anti")
 
 
 def _buffered(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
@@ -105,13 +121,12 @@ def _buffered(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame
 def _ranked(base: DataFrame, bounds: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """Ranks found in counts of bracketed values; for groups of any size."""
     if keys:
-        # Null is a group of its own, as in groupBy.
-        match = reduce(lambda a, b: a & b, [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
-        tagged = base.alias("_l").join(bounds.alias("_r"), match).select(
+        tagged = base.alias("_l").join(bounds.alias("_r"), _same_keys("_l", "_r", keys)).select(
             *[F.col(f"_l.{k}") for k in keys], "_v", *[c for c in bounds.columns if c not in keys]
         )
     else:
         row = bounds.first()
+        bounds.unpersist()
         tagged = base.withColumns({name: F.lit(row[name]) for name in bounds.columns})
 
     slot, inside = _slot(len(probs))
@@ -135,15 +150,12 @@ def _ranked(base: DataFrame, bounds: DataFrame, keys: list[str], probs: list[flo
         .select(*keys, "_slot", "_s", "_before", *ranks)
     )
     holds = reduce(
-        lambda a, b: a | b,
+        or_,
         [(F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col("_s")) for r in rank_names],
     )
     wanted = slots.where(holds).drop("_s")
 
-    pairs = [F.col(f"_c.{k}").eqNullSafe(F.col(f"_w.{k}")) for k in [*keys, "_slot"]]
-    near = counts.alias("_c").join(
-        wanted.alias("_w"), reduce(lambda a, b: a & b, pairs)
-    ).select(
+    near = counts.alias("_c").join(wanted.alias("_w"), _same_keys("_c", "_w", [*keys, "_slot"])).select(
         *[F.col(f"_c.{k}") for k in keys],
         F.col("_c._n").alias("_n"), F.col("_c._slot").alias("_slot"),
         F.col("_c._at").alias("_at"), F.col("_c._c").alias("_c"), "_before", *rank_names,

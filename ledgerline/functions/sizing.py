@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_BYTES_PER_CORE = 16 << 20
+HOT_ROWS = 5_000_000  # so that even 10^12 rows have few hot keys
 
 
 def measured(table: DataFrame) -> DataFrame:
@@ -49,20 +52,33 @@ def broadcast_limit(table: DataFrame) -> int:
     return int(session_state.conf().autoBroadcastJoinThreshold())
 
 
-def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], salts: int = 32) -> DataFrame:
-    """Left join to a table with one row per key.
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a measured table is within the session's broadcast limit."""
+    return known_bytes(table) <= broadcast_limit(table)
 
-    A measured table under the broadcast limit is broadcast. A larger one is
-    joined by key and salt: each key of the table is repeated ``salts`` times and
-    the fact rows of a hot key spread over all of its copies.
+
+def lookup_join(
+    facts: DataFrame, table: DataFrame, on: Sequence[str], salts: int = 64, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left join to a measured table with one row per key.
+
+    Within the broadcast limit the table is broadcast. Beyond it the join shuffles by key,
+    and only the keys that hold over ``hot_rows`` fact rows are salted: their fact rows
+    spread over ``salts`` copies of the table's row. Null keys, which match nothing, spread
+    as well. The salt is a hash of the row, so a repeated task gives the same rows.
     """
     keys = list(on)
-    if known_bytes(table) <= broadcast_limit(table):
+    if fits_broadcast(table):
         return facts.join(F.broadcast(table), keys, "left")
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
-    return (
-        facts.withColumn("_salt", spread)
-        .join(salted_table, [*keys, "_salt"], "left")
-        .drop("_salt")
-    )
+    counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = measured(counts.where(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias("_hot")))
+    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    left = facts.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, row_salt).otherwise(0)
+    ).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = table.join(hot, keys, "left").withColumn("_copies", copies).drop("_hot").withColumn(
+        "_salt", F.explode("_copies")
+    ).drop("_copies")
+    return left.join(right, [*keys, "_salt"], "left").drop("_salt")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import any_of, row_sum
+from ledgerline.functions.sizing import fits_broadcast, measured, scanned_bytes
 
 log = logging.getLogger(__name__)
 
@@ -161,9 +162,39 @@ def missing_by_group(df: DataFrame, group: str, columns: Sequence[str]) -> DataF
     )
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+LARGE_INPUT_BYTES = 4 << 30
+
+
+def _split_by_copies(df: DataFrame, keys: Sequence[str], large: int) -> tuple[DataFrame | None, DataFrame]:
+    """(rows that surely have no copy, the rest), or (None, df) where that does not pay.
+
+    On a large input only a hash of the keys is shuffled first. Rows with a hash of their own
+    have no copy and are never shuffled. The hashes that repeat must fit a broadcast, which
+    is checked; else all rows take the plain way.
+    """
+    if scanned_bytes(df) < large:
+        return None, df
+    marked = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in keys]))
+    repeated = measured(
+        marked.groupBy("_hash").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_hash")
+    )
+    if not fits_broadcast(repeated):
+        repeated.unpersist()
+        return None, df
+    single = marked.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
+    return single, marked.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
+
+
+def duplicate_count(
+    df: DataFrame, columns: Sequence[str] | None = None, large: int = LARGE_INPUT_BYTES
+) -> DataFrame:
     """Rows that repeat an earlier row. Copies are combined before the shuffle."""
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("_copies"))
+    keys = list(columns or df.columns)
+    narrow = df.select(*keys)
+    single, maybe = _split_by_copies(narrow, keys, large)
+    groups = maybe.groupBy(*keys).agg(F.count("*").alias("_copies")).select("_copies")
+    if single is not None:
+        groups = groups.unionByName(single.select(F.lit(1).cast("long").alias("_copies")))
     return groups.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -171,7 +202,8 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def dedup_keep_first(
-    df: DataFrame, order_by: str | Sequence[str], columns: Sequence[str] | None = None
+    df: DataFrame, order_by: str | Sequence[str], columns: Sequence[str] | None = None,
+    large: int = LARGE_INPUT_BYTES,
 ) -> DataFrame:
     """Keep the copy with the smallest id; null equals null.
 
@@ -180,6 +212,12 @@ def dedup_keep_first(
     """
     ids = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = list(columns) if columns else [c for c in df.columns if c not in ids]
+    single, maybe = _split_by_copies(df, keys, large)
+    kept = _first_copies(maybe, ids, keys)
+    return kept if single is None else kept.unionByName(single)
+
+
+def _first_copies(df: DataFrame, ids: list[str], keys: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in ids]
     if len(ids) == 1 and not rest:
         first = df.groupBy(*keys).agg(F.min(ids[0]).alias(ids[0]))

@@ -33,7 +33,8 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.parquet") -> Da
     listed = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
         .select("path", F.col("length").alias("bytes"))
-        .repartition("path")
+        # A fixed number of tasks: sized by these short rows, they would be merged into one.
+        .repartition(4 * spark.sparkContext.defaultParallelism, "path")
     )
     return listed.mapInPandas(_hash_files, "path string, bytes long, sha256 string")
 

@@ -112,13 +112,30 @@ def test_encoders_survive_saving(spark, targets, tmp_path):
     assert model.transform(df).exceptAll(loaded.transform(df)).isEmpty()
 
 
-def test_salted_and_broadcast_lookups_agree(spark, monkeypatch):
-    facts = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k"))
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**9])
+def test_salted_and_broadcast_lookups_agree(spark, monkeypatch, hot_rows):
+    facts = spark.range(5000).select(
+        "id", F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k")
+    )
     table = sizing.measured(spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("t")))
     a = sizing.lookup_join(facts, table, ["k"])
     assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
-    expected = sorted((r["id"], r["t"]) for r in a.where("t IS NOT NULL").collect())
     monkeypatch.setattr(sizing, "broadcast_limit", lambda table: 0)
-    b = sizing.lookup_join(facts, table, ["k"])
+    b = sizing.lookup_join(facts, table, ["k"], salts=8, hot_rows=hot_rows)
     assert b.columns == a.columns and b.count() == 5000
-    assert sorted((r["id"], r["t"]) for r in b.where("t IS NOT NULL").collect()) == expected
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_hot_fact_rows_spread_over_tasks(spark, monkeypatch):
+    facts = spark.range(4000).select("id", F.lit(5).cast("long").alias("k"))
+    table = sizing.measured(spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("t")))
+    monkeypatch.setattr(sizing, "broadcast_limit", lambda table: 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = sizing.lookup_join(facts, table, ["k"], salts=64, hot_rows=100)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 4000 and max(sizes) < 2000

@@ -33,6 +33,22 @@ def test_duplicates_treat_null_and_nan_as_equal(spark):
     assert [(r["id"], r["c"]) for r in subset.orderBy("id").collect()] == [(1, 10), (3, 30), (6, 60)]
 
 
+@pytest.mark.parametrize("large", [0, 1 << 60])
+def test_hash_first_gives_the_same_rows(spark, large):
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}" if i % 3 == 1 else f"u{i}", None if i % 2 else 0.0) for i in range(900)]
+    rows += [(1000, "u2", -0.0), (1001, None, None), (1002, None, None)]
+    df = spark.createDataFrame(rows, "id int, a string, b double")
+    seen, first = set(), []
+    for i, a, b in rows:
+        if (a, b) not in seen:
+            seen.add((a, b))
+            first.append(i)
+    assert sorted(r["id"] for r in q.dedup_keep_first(df, "id", large=large).collect()) == first
+    assert tuple(q.duplicate_count(df, ["a", "b"], large).first()) == (len(rows), len(rows) - len(first))
+    by_a = q.dedup_keep_first(df, "id", ["a"], large)
+    assert by_a.columns == df.columns and by_a.count() == df.select("a").distinct().count()
+
+
 def test_hot_copies_are_combined_before_the_shuffle(spark):
     df = spark.range(1000).select(F.col("id"), F.lit("same").alias("a"))
     plan = q.dedup_keep_first(df, "id")._jdf.queryExecution().executedPlan().toString()

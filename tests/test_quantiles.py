@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.functions import quantiles
 from ledgerline.functions.prefix import running_total
 from ledgerline.functions.quantiles import column_quantiles, median_value, quantile_table, quantile_values
 
@@ -33,6 +34,15 @@ def test_groups_match_numpy(frame, small_group):
         assert np.allclose(got, expected, rtol=1e-12, atol=0)
 
 
+def test_many_groups_with_a_few_large_ones(frame, monkeypatch):
+    pdf, df = frame
+    monkeypatch.setattr(quantiles, "fits_broadcast", lambda table: False)
+    rows = {r["k"]: r for r in quantile_table(df, "v", [0.1, 0.5], ["k"], 8000).collect()}
+    assert len(rows) == 3
+    for key, group in pdf.dropna().groupby("k"):
+        assert np.allclose([rows[key]["q0"], rows[key]["q1"]], group["v"].quantile([0.1, 0.5]).tolist(), rtol=1e-12)
+
+
 @pytest.mark.parametrize("small_group", [0, 10**9])
 def test_whole_column_and_edges(spark, frame, small_group):
     pdf, df = frame
