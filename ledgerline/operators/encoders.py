@@ -22,7 +22,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.prefix import running_total
@@ -274,10 +274,13 @@ class CategoryModel(_TableModel):
 
     def vocabulary(self) -> DataFrame:
         """column, mapped category, training rows, slot (alphabetical position in its column)."""
-        return (
-            self.table.groupBy("column", F.col("mapped").alias("category"))
-            .agg(F.sum("train_rows").alias("train_rows"))
-            .withColumn("slot", F.row_number().over(Window.partitionBy("column").orderBy("category")) - 1)
+        categories = self.table.groupBy("column", F.col("mapped").alias("category")).agg(
+            F.sum("train_rows").alias("train_rows"), F.lit(1).alias("_one")
+        )
+        placed = running_total(categories, ["column", "category"], "_one", "_upto")
+        starts = placed.groupBy("column").agg(F.min("_upto").alias("_start"))
+        return placed.join(starts, "column").select(
+            "column", "category", "train_rows", (F.col("_upto") - F.col("_start")).alias("slot")
         )
 
     def _transform(self, df: DataFrame) -> DataFrame:

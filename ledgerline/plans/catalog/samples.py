@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import encoders as enc
+from ledgerline.operators import features as feat
 from ledgerline.operators import filters as flt
 from ledgerline.operators import joins
 from ledgerline.operators import splits as sp
@@ -179,6 +180,20 @@ def _category_sides(spark, folder):
     return rows, rows.where((F.col("split") == "train") & (F.col("event_type") != "error"))
 
 
+# Keys of user, type and time of day: some rare, some on the test side only.
+_KEYED_SQL = EVENTS_SPLIT_SQL + """, keyed AS (
+  SELECT *, user_id || '_' || event_type AS route_id, user_id || '_' || event_type || '_' ||
+         CASE WHEN hour(ts) <= 5 THEN 'night' WHEN hour(ts) <= 9 THEN 'morning_peak'
+              WHEN hour(ts) <= 15 THEN 'daytime' WHEN hour(ts) <= 19 THEN 'evening_peak'
+              ELSE 'late_evening' END AS route_period_id
+  FROM events_split), train AS (SELECT * FROM keyed WHERE split = 'train')"""
+
+
+def _keyed_sides(spark, folder):
+    rows = feat.route_features(events_split(spark, folder), "user_id", "event_type", "ts")
+    return rows, rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
+
+
 @query("one_hot", f"""
 WITH {_CATEGORY_SQL},
 vocabulary AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS slot FROM train GROUP BY event_type)
@@ -202,19 +217,17 @@ def one_hot_drop_first(spark, folder):
 
 
 @query("one_hot_infrequent", f"""
-WITH {EVENTS_SPLIT_SQL},
-train AS (SELECT * FROM events_split WHERE split = 'train' AND user_id % 10 <> 3),
-counts AS (SELECT user_id, count(*) AS n FROM train GROUP BY 1),
-mapped AS (SELECT event_id, CASE WHEN n >= 55 THEN CAST(e.user_id AS VARCHAR) ELSE 'infrequent' END AS category
-           FROM events_split e LEFT JOIN counts c ON e.user_id = c.user_id),
+WITH {_KEYED_SQL},
+counts AS (SELECT route_id, count(*) AS n FROM train GROUP BY 1),
+mapped AS (SELECT event_id, CASE WHEN n >= 10 THEN e.route_id ELSE 'infrequent' END AS category
+           FROM keyed e LEFT JOIN counts c ON e.route_id = c.route_id),
 vocabulary AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS slot FROM (
-  SELECT DISTINCT CASE WHEN n >= 55 THEN CAST(user_id AS VARCHAR) ELSE 'infrequent' END AS category FROM counts) d)
-SELECT event_id, 'user_id' AS "column", m.category, slot FROM mapped m JOIN vocabulary v ON m.category = v.category
+  SELECT DISTINCT CASE WHEN n >= 10 THEN route_id ELSE 'infrequent' END AS category FROM counts) d)
+SELECT event_id, 'route_id' AS "column", m.category, slot FROM mapped m JOIN vocabulary v ON m.category = v.category
 """)
 def one_hot_infrequent(spark, folder):
-    rows = events_split(spark, folder)
-    train = rows.where((F.col("split") == "train") & (F.col("user_id") % 10 != 3))
-    return enc.CategoryEncoder(["user_id"], min_frequency=55).fit(train).one_hot_long(rows, ["event_id"])
+    rows, train, _ = _keyed_sides(spark, folder)
+    return enc.CategoryEncoder(["route_id"], min_frequency=10).fit(train).one_hot_long(rows, ["event_id"])
 
 
 @query("ordinal_encode", f"""
@@ -233,18 +246,16 @@ def _shrink(n, mean, var, global_mean, global_var):
 
 
 @query("target_encode", f"""
-WITH {EVENTS_SPLIT_SQL},
-train AS (SELECT * FROM events_split WHERE split = 'train' AND user_id % 10 <> 3),
+WITH {_KEYED_SQL},
 g AS (SELECT avg(value) AS gm, var_pop(value) AS gv FROM train),
-c AS (SELECT user_id, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM train GROUP BY 1)
-SELECT event_id, coalesce({_shrink('n', 'm', 'v', 'gm', 'gv')}, gm) AS user_id_mean
-FROM events_split e CROSS JOIN g LEFT JOIN c ON e.user_id = c.user_id WHERE split = 'test'
-""", rounded="user_id_mean")
+c AS (SELECT route_period_id, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM train GROUP BY 1)
+SELECT event_id, coalesce({_shrink('n', 'm', 'v', 'gm', 'gv')}, gm) AS route_period_id_mean
+FROM keyed e CROSS JOIN g LEFT JOIN c ON e.route_period_id = c.route_period_id WHERE split = 'test'
+""", rounded="route_period_id_mean")
 def target_encode(spark, folder):
-    rows = events_split(spark, folder)
-    train = rows.where((F.col("split") == "train") & (F.col("user_id") % 10 != 3))
-    fitted = enc.TargetEncoder(["user_id"], "value").fit(train)
-    return fitted.transform(rows.where(F.col("split") == "test")).select("event_id", "user_id_mean")
+    _, train, test = _keyed_sides(spark, folder)
+    fitted = enc.TargetEncoder(["route_period_id"], "value").fit(train)
+    return fitted.transform(test).select("event_id", "route_period_id_mean")
 
 
 @query("target_encode_crossfit", f"""
@@ -263,14 +274,13 @@ def target_encode_crossfit(spark, folder):
 
 
 @query("apply_group_stats", f"""
-WITH {EVENTS_SPLIT_SQL},
-train AS (SELECT * FROM events_split WHERE split = 'train' AND user_id % 10 <> 3)
+WITH {_KEYED_SQL}
 SELECT event_id, coalesce(m, (SELECT avg(value) FROM train)) AS prediction
-FROM events_split e LEFT JOIN (SELECT user_id, avg(value) AS m FROM train GROUP BY 1) s ON e.user_id = s.user_id
+FROM keyed e LEFT JOIN (SELECT route_period_id, avg(value) AS m FROM train GROUP BY 1) s
+  ON e.route_period_id = s.route_period_id
 WHERE split = 'test'
 """, rounded="prediction")
 def apply_group_stats(spark, folder):
-    rows = events_split(spark, folder)
-    train = rows.where((F.col("split") == "train") & (F.col("user_id") % 10 != 3))
-    test = rows.where(F.col("split") == "test")
-    return joins.apply_group_stats(train, test, "user_id", {"prediction": "value"}).select("event_id", "prediction")
+    _, train, test = _keyed_sides(spark, folder)
+    scored = joins.apply_group_stats(train, test, "route_period_id", {"prediction": "value"})
+    return scored.select("event_id", "prediction")
