@@ -79,17 +79,22 @@ class Preprocessing:
         return [*self.numeric, *self.categorical, *self.passthrough]
 
     def stages(self) -> list[Estimator | Transformer]:
-        """Imputers, scaler, encoders and the final vector."""
+        """Working copies, imputers, scaler, encoders and the final vector.
+
+        The input columns stay as they are, so that several models can score the same rows.
+        """
         leakage_guard(self.columns(), self.forbidden)
-        stages: list[Estimator | Transformer] = []
-        numeric, categorical = list(self.numeric), list(self.categorical)
+        copies = ", ".join(f"`{c}` AS `{c}__in`" for c in self.columns())
+        stages: list[Estimator | Transformer] = [SQLTransformer(statement=f"SELECT *, {copies} FROM __THIS__")]
+        numeric = [f"{c}__in" for c in self.numeric]
+        categorical = [f"{c}__in" for c in self.categorical]
         if numeric and self.numeric_fill == "median":
             stages.append(MedianImputer(numeric, indicator=False))
         elif numeric and self.numeric_fill is not None:
             stages.append(ConstantImputer(numeric, self.numeric_fill))
         if numeric and self.scale:
             stages.append(PopulationScaler(numeric))
-        inputs = [*numeric, *self.passthrough]
+        inputs = [*numeric, *[f"{c}__in" for c in self.passthrough]]
         if categorical:
             if self.categorical_fill == "mode":
                 stages.append(ModeImputer(categorical))
@@ -97,14 +102,14 @@ class Preprocessing:
                 stages.append(ConstantImputer(categorical, self.categorical_fill))
             if self.min_frequency:
                 stages.append(CategoryEncoder(categorical, self.min_frequency))
-            indexed = [f"{c}__index" for c in categorical]
+            indexed = [f"{c}__index" for c in self.categorical]
             stages.append(StringIndexer(
                 inputCols=categorical, outputCols=indexed,
                 handleInvalid="keep", stringOrderType="alphabetAsc",
             ))
             if self.one_hot:
                 # The dropped last slot is the unknown one, so unknown and null are all zeros.
-                hot = [f"{c}__hot" for c in categorical]
+                hot = [f"{c}__hot" for c in self.categorical]
                 stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True))
                 inputs += hot
             else:
@@ -112,6 +117,14 @@ class Preprocessing:
         stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
         return stages
 
+    def tidy(self) -> SQLTransformer:
+        """Removes the vector and the working columns after the model."""
+        made = [FEATURES, *[f"{c}__in" for c in self.columns()], *[f"{c}__index" for c in self.categorical]]
+        if self.one_hot:
+            made += [f"{c}__hot" for c in self.categorical]
+        names = ", ".join(f"`{c}`" for c in made)
+        return SQLTransformer(statement=f"SELECT * EXCEPT ({names}) FROM __THIS__")
+
 
 def assemble(train: DataFrame, preprocessing: Preprocessing) -> PipelineModel:
     """Fitted preprocessing that ends in one vector column."""
@@ -141,7 +154,7 @@ def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: s
         vectors = prepared.transform(rows)
         estimator = learner if isinstance(learner, Estimator) else learner(vectors)
         fitted = estimator.fit(vectors)
-    return PipelineModel([*prepared.stages, fitted, *after])
+    return PipelineModel([*prepared.stages, fitted, preprocessing.tidy(), *after])
 
 
 # Learners ------------------------------------------------------------------------------
@@ -161,25 +174,27 @@ def baseline_constant(train: DataFrame, test: DataFrame, target: str, kind: str
     return test.withColumn(prediction, F.lit(value).cast("double"))
 
 
-def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str) -> PipelineModel:
+def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str,
+               prediction: str = PREDICTION) -> PipelineModel:
     """Ordinary least squares.
 
     Full one-hot groups beside an intercept are linearly dependent, so this is the limit of
     a vanishing penalty, which is the least-squares solution of smallest norm.
     """
     dependent = bool(preprocessing.categorical) and preprocessing.one_hot
-    return fit_ridge(train, preprocessing, target, alpha=None if dependent else 0.0)
+    return fit_ridge(train, preprocessing, target, alpha=None if dependent else 0.0, prediction=prediction)
 
 
 def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha: float | None = 10.0,
-              log_target: bool = False, fit_intercept: bool = True) -> PipelineModel:
+              log_target: bool = False, fit_intercept: bool = True,
+              prediction: str = PREDICTION) -> PipelineModel:
     """Least squares with ``alpha * |w|^2`` added to the sum of squares.
 
     MLlib minimises half the mean square of the label divided by its deviation, so its
     parameter is alpha / n times that deviation: the population one for the normal
     equations, the sample one for L-BFGS.
     """
-    label, output = (f"_log_{target}", "_log_prediction") if log_target else (target, PREDICTION)
+    label, output = (f"_log_{target}", "_log_prediction") if log_target else (target, prediction)
     frame = train.withColumn(label, F.log1p(F.col(target))) if log_target else train
 
     def learner(rows: DataFrame) -> LinearRegression:
@@ -194,7 +209,9 @@ def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha
             fitIntercept=fit_intercept, solver="normal" if normal else "l-bfgs",
         )
 
-    after = [SQLTransformer(statement=f"SELECT *, expm1(_log_prediction) AS {PREDICTION} FROM __THIS__")]
+    after = [SQLTransformer(
+        statement=f"SELECT * EXCEPT (_log_prediction), expm1(_log_prediction) AS `{prediction}` FROM __THIS__"
+    )]
     return fit_model(frame, preprocessing, learner, label, after if log_target else ())
 
 
@@ -245,7 +262,7 @@ def fit_forest_multi(train: DataFrame, preprocessing: Preprocessing, targets: Se
         for target in targets:
             learner = random_forest(target, trees, depth, min_leaf, max_bins, prediction=f"{target}_prediction")
             forests.append(learner.fit(vectors.where(F.col(target).isNotNull())))
-    return PipelineModel([*prepared.stages, *forests])
+    return PipelineModel([*prepared.stages, *forests, preprocessing.tidy()])
 
 
 def sum_of_targets(predicted: DataFrame, targets: Sequence[str], total: str = "total_prediction") -> DataFrame:

@@ -255,6 +255,17 @@ def leaderboard(spark, folder):
     return res.leaderboard(records, "value", SPLIT_ID, pinned)
 
 
+@query("leaderboard_rank", f"""
+WITH {_RUNS_SQL} SELECT author, experiment_id, mae, author <> 'error' AS eligible,
+  row_number() OVER (ORDER BY author <> 'error' DESC, mae, author) AS rank FROM runs
+""", rounded="mae")
+def leaderboard_rank(spark, folder):
+    flat = runs(spark, folder).select(
+        "author", "experiment_id", F.col("metrics.mae").alias("mae"), (F.col("author") != "error").alias("eligible")
+    )
+    return res.leaderboard_rank(flat)
+
+
 @query("leaderboard_sort", f"""
 WITH {_RUNS_SQL} SELECT author, mae, {_ELIGIBLE} AS eligible FROM runs ORDER BY eligible DESC, mae
 """, rounded="mae")

@@ -7,6 +7,7 @@ of, plus codes. Trees and depth are kept small here; the functions default to mo
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import threshold_label
@@ -49,15 +50,18 @@ def _scored(model, test, target="amount"):
         return test.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
 
 
-@query("assemble")
+@query("assemble", f"""
+WITH {_SPLIT_SQL}
+SELECT count(*) AS row_count,
+       4 + (SELECT count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) + count(DISTINCT o_orderpriority)
+            FROM train) AS vector_size,
+       7.0::DOUBLE AS mean_nonzero
+FROM test
+""", rounded="mean_nonzero")
 def assemble(spark, folder):
-    """Vector size and share of non-zero slots after preprocessing."""
+    """Vector size and mean number of non-zero slots: four measures and one slot per code."""
     train, test = sides(spark, folder)
-    prepared = m.assemble(train, LINEAR).transform(test)
-    parts = F.struct(F.col(m.FEATURES).alias("v"))
-    from pyspark.ml.functions import vector_to_array
-
-    values = prepared.select(vector_to_array(parts["v"]).alias("v"))
+    values = m.assemble(train, LINEAR).transform(test).select(vector_to_array(m.FEATURES).alias("v"))
     return values.agg(
         F.count("*").alias("row_count"), F.max(F.size("v")).alias("vector_size"),
         F.avg(F.size(F.filter("v", lambda e: e != 0.0))).alias("mean_nonzero"),
@@ -93,10 +97,19 @@ def linear_regression_codes(spark, folder):
     return _scored(m.fit_linear(train, LINEAR, "amount"), test)
 
 
-@query("ridge_log_target")
+@query("ridge_log_target", f"""
+WITH {_SPLIT_SQL},
+fitted AS (SELECT avg(l_extendedprice) AS xm, stddev_pop(l_extendedprice) AS xs, avg(ln(1 + amount)) AS ym,
+                  count(*) * covar_pop(ln(1 + amount), l_extendedprice) / stddev_pop(l_extendedprice)
+                    / (count(*) + 10.0) AS slope FROM train),
+scored AS (SELECT amount AS y, exp(ym + slope * (l_extendedprice - xm) / xs) - 1 AS p FROM test, fitted)
+SELECT count(*) AS row_count, avg(abs(p - y)) AS mae, sqrt(avg((p - y) * (p - y))) AS rmse,
+       quantile_cont(abs(p - y), 0.5) AS median_ae, 1 - avg((p - y) * (p - y)) / var_pop(y) AS r2 FROM scored
+""", rounded="mae rmse median_ae r2", digits=4)
 def ridge_log_target(spark, folder):
     train, test = sides(spark, folder)
-    return _scored(m.fit_ridge(train, LINEAR, "amount", alpha=10.0, log_target=True), test)
+    one = m.Preprocessing(numeric=["l_extendedprice"])
+    return _scored(m.fit_ridge(train, one, "amount", alpha=10.0, log_target=True), test)
 
 
 @query("gradient_boosting")
@@ -165,14 +178,54 @@ def predict_bundle(spark, folder):
     )
 
 
-@query("per_target_benchmark")
+def _target_sql(target: str) -> str:
+    return f"""
+SELECT '{target}' AS target, (SELECT count(*) FROM train) AS train_rows, count(*) AS test_rows, avg(y) AS test_mean,
+       avg(CASE WHEN y <> 0 THEN 1.0 ELSE 0.0 END) AS test_nonzero_rate, avg(abs(p - y)) AS mae,
+       sqrt(avg((p - y) * (p - y))) AS rmse, quantile_cont(abs(p - y), 0.5) AS median_ae,
+       1 - avg((p - y) * (p - y)) / var_pop(y) AS r2
+FROM (SELECT {target} AS y, a + b * l_extendedprice AS p FROM test, (
+  SELECT regr_intercept({target}, l_extendedprice) AS a, regr_slope({target}, l_extendedprice) AS b FROM train) f) s"""
+
+
+@query("per_target_benchmark", f"WITH {_SPLIT_SQL} " + " UNION ALL ".join(_target_sql(t) for t in ("net", "tax")),
+       rounded="test_mean test_nonzero_rate mae rmse median_ae r2", digits=4)
 def per_target_benchmark(spark, folder):
     train, test = sides(spark, folder)
-    return m.per_target_benchmark(
-        train, test, ["net", "tax"], lambda rows, target: m.fit_ridge(rows, LINEAR, target)
+    one = m.Preprocessing(numeric=["l_extendedprice"])
+    table = m.per_target_benchmark(train, test, ["net", "tax"], lambda rows, t: m.fit_linear(rows, one, t))
+    return table.drop("fit_seconds")
+
+
+def _fold_sql(target: str, predicted: str) -> str:
+    e = f"({predicted} - {target})"
+    return (
+        f"SELECT '{target}' AS target, k, count(*) AS n, 1 - avg({e} * {e}) / var_pop({target}) AS r2, "
+        f"avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse FROM scored GROUP BY k"
     )
 
 
+@query("cross_validate_linear", f"""
+WITH {TRIP_SQL}, folded AS (SELECT *, net + tax AS total, {TRIP_HASH_SQL} % 5 AS fold FROM trip),
+fitted AS (SELECT k, regr_intercept(net, l_extendedprice) AS na, regr_slope(net, l_extendedprice) AS nb,
+                  regr_intercept(tax, l_extendedprice) AS ta, regr_slope(tax, l_extendedprice) AS tb
+           FROM folded, range(5) r(k) WHERE fold <> k GROUP BY k),
+scored AS (SELECT k, net, tax, total, na + nb * l_extendedprice AS pn, ta + tb * l_extendedprice AS pt
+           FROM folded JOIN fitted ON fold = k),
+per_fold AS ({_fold_sql("net", "pn")} UNION ALL {_fold_sql("tax", "pt")} UNION ALL {_fold_sql("total", "(pn + pt)")})
+SELECT target, count(*) AS folds, CAST(sum(n) AS BIGINT) AS row_count, avg(r2) AS r2_mean, stddev_pop(r2) AS r2_std,
+       avg(mae) AS mae_mean, avg(rmse) AS rmse_mean FROM per_fold GROUP BY target
+""", rounded="r2_mean r2_std mae_mean rmse_mean", digits=4)
+def cross_validate_linear(spark, folder):
+    one = m.Preprocessing(numeric=["l_extendedprice"])
+
+    def fit(rows):
+        return PipelineModel([m.fit_linear(rows, one, t, prediction=f"{t}_prediction") for t in ("net", "tax")])
+
+    rows = trip(spark, folder).select(*TRIP_IDS, "l_extendedprice", "net", "tax")
+    return m.cross_validate(rows, TRIP_IDS, ["net", "tax"], fit, folds=5)
+
+
 @query("cross_validate")
 def cross_validate(spark, folder):
     rows = trip(spark, folder).select(*TRIP_IDS, *NUMERIC, *CODES, "net", "tax")
@@ -217,11 +270,17 @@ def high_value_classifier(spark, folder):
     return m.high_value_classifier(train, test, LINEAR, "high")
 
 
-@query("compare_predictions")
+@query("compare_predictions", f"""
+WITH {_SPLIT_SQL},
+fitted AS (SELECT avg(l_extendedprice) AS xm, regr_slope(amount, l_extendedprice) AS b, count(*) AS n FROM train)
+SELECT count(*) AS row_count, max(abs(b * (l_extendedprice - xm) * (1 - n / (n + 1000.0)))) AS max_difference
+FROM test, fitted
+""", rounded="max_difference", digits=3)
 def compare_predictions(spark, folder):
     train, test = sides(spark, folder)
-    plain = m.fit_linear(train, LINEAR, "amount").transform(test)
-    shrunk = m.fit_ridge(train, LINEAR, "amount", alpha=10.0).transform(test)
+    one = m.Preprocessing(numeric=["l_extendedprice"])
+    plain = m.fit_linear(train, one, "amount").transform(test)
+    shrunk = m.fit_ridge(train, one, "amount", alpha=1000.0).transform(test)
     return m.compare_predictions(plain, shrunk, TRIP_IDS)
 
 

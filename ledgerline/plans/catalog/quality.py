@@ -330,6 +330,39 @@ def assert_no_nulls(spark, folder):
     return q.null_cells(q.assert_no_nulls(filled))
 
 
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@query("require_columns", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def require_columns(spark, folder):
+    orders = table(spark, folder, "orders")
+    q.require_columns(orders, _ORDER_COLUMNS)
+    return orders.select(*_ORDER_COLUMNS)
+
+
+@query("resolve_columns", "SELECT l_orderkey, l_tax FROM lineitem")
+def resolve_columns(spark, folder):
+    """Names in any case; the absent one is skipped with a warning."""
+    lines = table(spark, folder, "lineitem")
+    return lines.select(*q.resolve_columns(lines, ["L_ORDERKEY", "L_Tax", "l_absent"]))
+
+
+@query("leakage_guard", "SELECT l_quantity, l_extendedprice, l_discount FROM lineitem")
+def leakage_guard(spark, folder):
+    features = ["l_quantity", "l_extendedprice", "l_discount"]
+    q.leakage_guard(features, ["net", "tax", "amount"], features)
+    return table(spark, folder, "lineitem").select(*features)
+
+
+@query("expected_rows", "SELECT count(*) AS row_count FROM orders")
+def expected_rows(spark, folder):
+    """The key is unique, so distinct keys must be as many as rows."""
+    orders = table(spark, folder, "orders").select("o_orderkey")
+    counted = orders.agg(F.count("*").alias("row_count"))
+    q.expected_rows(orders.distinct(), counted.first()["row_count"], "orders")
+    return counted
+
+
 # Filters -------------------------------------------------------------------------------
 
 _KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"

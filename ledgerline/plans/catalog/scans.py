@@ -22,7 +22,9 @@ def scan_pruned(spark, folder):
     return tables.scan_pruned(spark, f"{folder}/lineitem.parquet", wanted)
 
 
-@query("stable_row_id")
+@query("stable_row_id", f"""
+SELECT row_number() OVER () - 1 AS source_row_id, {', '.join(TRIP_IDS)} FROM lineitem
+""")
 def stable_row_id(spark, folder):
     return tables.scan_with_row_id(spark, f"{folder}/lineitem.parquet").select("source_row_id", *TRIP_IDS)
 

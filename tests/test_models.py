@@ -100,6 +100,23 @@ def test_unseen_amount_counts_as_wrong(sides):
         m.Bundle("other", {}).predict(test, "p")
 
 
+def test_models_leave_their_input_alone(sides):
+    _, _, train_df, test_df = sides
+    train, test = [df.withColumn("z", F.greatest(F.col("y") - 8, F.lit(0.0))) for df in (train_df, test_df)]
+    prep = m.Preprocessing(numeric=["a", "b"], categorical=["c"], one_hot=False)
+    bundles = {
+        "y": m.fit_continuous_target(train, prep, "y", trees=3, max_bins=32),
+        "z": m.fit_two_stage_target(train, prep, "z", trees=3, max_bins=32),
+    }
+    together = m.predict_bundles(bundles, test)
+    assert together.columns == [*test.columns, "y_prediction", "z_prediction", "total_prediction"]
+    assert together.select(test.columns).exceptAll(test).isEmpty()
+    alone = bundles["z"].predict(test, "z_prediction")
+    assert together.select("id", "z_prediction").exceptAll(alone.select("id", "z_prediction")).isEmpty()
+    scored = m.fit_linear(train, PREP, "y").transform(test)
+    assert scored.columns == [*test.columns, "prediction"]
+
+
 def test_unknown_answers_are_left_out(sides):
     _, _, train_df, test_df = sides
     train = train_df.withColumn("t", F.when(F.col("id") % 2 == 0, F.col("y")))
