@@ -180,9 +180,7 @@ def label_lookup(code: Column | str, labels: Mapping, default: str = "Other") ->
 
 def coerce_timestamp(text: Column | str) -> Column:
     """Timestamp without zone, or null for unreadable text."""
-    return F.expr(f"try_cast({text} AS TIMESTAMP_NTZ)") if isinstance(text, str) else text.try_cast(
-        "timestamp_ntz"
-    )
+    return _col(text).try_cast("timestamp_ntz")
 
 
 def coerce_number(text: Column | str) -> Column:

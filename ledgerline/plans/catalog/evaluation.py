@@ -312,7 +312,6 @@ WITH {_RUNS_SQL} SELECT experiment_id, author, target, mae, r2, train_rows, row_
 def scan_results_json(spark, folder):
     """Written by author, read back and validated."""
     saved = save_results(runs(spark, folder), scratch_path(spark, "results"))
-    res.require_valid_results(saved)
     return saved.select(
         "experiment_id", "author", "target", F.col("metrics.mae").alias("mae"), F.col("metrics.r2").alias("r2"),
         F.col("data.train_rows").alias("train_rows"), F.col("data.test_rows").alias("test_rows"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from copy import deepcopy
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.results import RESULT_SCHEMA, require_valid_results
 
@@ -26,7 +28,15 @@ def sink_json(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
 
 def save_results(records: DataFrame, path: str) -> DataFrame:
-    """Validated result records under ``author=<author>/``, so a path never holds another author's."""
+    """Validated result records, one folder per author, read back."""
     require_valid_results(records)
-    records.withColumn("_folder", records["author"]).write.mode("overwrite").partitionBy("_folder").json(path)
-    return records.sparkSession.read.schema(RESULT_SCHEMA).json(path).drop("_folder")
+    foldered = records.withColumn("author_folder", records["author"])
+    foldered.write.mode("overwrite").partitionBy("author_folder").json(path)
+    return load_saved_results(records.sparkSession, path)
+
+
+def load_saved_results(spark: SparkSession, path: str) -> DataFrame:
+    """Records written by ``save_results``; one in another author's folder is an error."""
+    read = spark.read.schema(deepcopy(RESULT_SCHEMA).add("author_folder", "string")).json(path)
+    require_valid_results(read, "author_folder")
+    return read.drop("author_folder")

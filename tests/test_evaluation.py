@@ -107,7 +107,7 @@ def test_missing_records(spark, tmp_path):
 
 
 def test_record_round_trip(spark, scored, tmp_path):
-    from ledgerline.sources.sinks import save_results
+    from ledgerline.sources.sinks import load_saved_results, save_results
 
     _, df = scored
     made = res.metrics_record(
@@ -116,6 +116,10 @@ def test_record_round_trip(spark, scored, tmp_path):
     back = save_results(made, str(tmp_path / "out"))
     assert back.schema == res.RESULT_SCHEMA
     assert json.loads(back.toJSON().first()) == json.loads(made.toJSON().first())
+    moved = tmp_path / "out" / "author_folder=bob"
+    (tmp_path / "out" / "author_folder=ann").rename(moved)
+    with pytest.raises(ValueError, match="folder"):
+        load_saved_results(spark, str(tmp_path / "out"))
     broken = made.withColumn("author", F.lit(""))
     with pytest.raises(ValueError, match="author is empty"):
         save_results(broken, str(tmp_path / "bad"))

@@ -98,6 +98,13 @@ def test_other_preparations(raw, pdf):
     assert taxi.training_trips(raw).count() == (complete.minutes <= cap).sum()
     valid, targets = taxi.multi_output_trips(raw.withColumnRenamed("Airport_fee", "airport_fee"))
     assert "airport_fee" in targets and len(targets) == 9 and valid.count() > 0
+    texts = raw.withColumns({
+        taxi.PICKUP: F.when(F.col("source_row_id") < 100, "never").otherwise(F.col(taxi.PICKUP).cast("string")),
+        "tip_amount": F.when(F.col("source_row_id") < 200, "n/a").otherwise(F.col("tip_amount").cast("string")),
+    })
+    read, _ = taxi.multi_output_trips(texts)
+    assert read.where("source_row_id < 100").isEmpty()
+    assert read.where("source_row_id < 200 AND tip_amount <> 0").isEmpty() and read.count() < valid.count()
 
 
 def test_tables_and_statistics(raw):
