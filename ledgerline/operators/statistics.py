@@ -96,8 +96,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     rank_a = measured(average_rank(pairs, "_a", "_ra").drop("copies"))
     rank_b = measured(average_rank(pairs, "_b", "_rb").drop("copies"))
     ranked = lookup_join(lookup_join(counted, rank_a, ["_a"]), rank_b, ["_b"])
-    total = counted.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    mean = (total + 1) / 2.0
+    mean = (pairs.count() + 1) / 2.0
     da, db, n = F.col("_ra") - mean, F.col("_rb") - mean, F.col("_n")
     sums = ranked.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("row_count"),
