@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import expressions as x
 from ledgerline.operators import features as feat
-from ledgerline.plans.bindings import DAY, TRIP_IDS, TRIP_NULLS_SQL, TRIP_SQL, events, trip, trip_nulls
+from ledgerline.plans.bindings import TRIP_IDS, TRIP_NULLS_SQL, TRIP_SQL, events, trip, trip_nulls
 from ledgerline.plans.registry import query
 from ledgerline.sources.tables import table
 

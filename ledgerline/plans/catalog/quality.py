@@ -9,7 +9,6 @@ from ledgerline.operators import features as feat
 from ledgerline.operators import filters as flt
 from ledgerline.operators import quality as q
 from ledgerline.plans.bindings import (
-    DAY,
     TRIP_IDS,
     TRIP_NULLS_SQL,
     TRIP_SQL,

@@ -7,7 +7,6 @@ from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerline.functions.quantiles import median_value
 from ledgerline.operators import evaluation as ev
