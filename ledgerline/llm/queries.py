@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality_rules
+from ledgerline.llm import quality_rules, simhash, sketches
 from ledgerline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,15 @@ def query(name: str, sql: str | None = None):
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document; its source is the host."""
     return quality_rules.report(documents(spark, folder))
+
+
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Bottom-k sketches of every document and its edited text."""
+    return sketches.fingerprint_edits(documents(spark, folder))
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash of every document and the group of documents it links to."""
+    return simhash.report(documents(spark, folder))
