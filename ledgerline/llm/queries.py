@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality_rules, simhash, sketches
+from ledgerline.llm import language, quality_model, quality_rules, simhash, sketches
 from ledgerline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,15 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash of every document and the group of documents it links to."""
     return simhash.report(documents(spark, folder))
+
+
+@query("op3_language")
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those outside fold 1 of 3."""
+    return language.report(documents(spark, folder))
+
+
+@query("op10_quality_model")
+def op10_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from labels outside fold 2 of 4."""
+    return quality_model.report(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
