@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import language, quality_model, quality_rules, simhash, sketches
+from ledgerline.llm import genetic, language, packing, quality_model, quality_rules, simhash, sketches
 from ledgerline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,15 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document, learned from labels outside fold 2 of 4."""
     return quality_model.report(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op1_packed_matrix")
+def op1_packed_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as rows of a token matrix, packed by best fit decreasing."""
+    return packing.packed_matrix(documents(spark, folder))
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 tokens."""
+    return genetic.pack_documents(documents(spark, folder))
