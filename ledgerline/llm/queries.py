@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import genetic, language, packing, quality_model, quality_rules, simhash, sketches
+from ledgerline.llm import genetic, language, packing, quality_model, quality_rules, repeats, simhash, sketches
 from ledgerline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ def op1_packed_matrix(spark: SparkSession, folder: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
     return genetic.pack_documents(documents(spark, folder))
+
+
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without byte strings that start earlier."""
+    return repeats.report(documents(spark, folder))
