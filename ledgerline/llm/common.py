@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
@@ -53,3 +53,32 @@ def join_few(
     left = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain, F.monotonically_increasing_id()), F.lit(salts)))
     right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def keyed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, bool]:
+    """The rows with a ``_key`` in the order of documents, and whether ids were unique.
+
+    Unique ids are the keys. Otherwise the key is the rank of (id, hash of the text), rows
+    without an id last; rows that share both have one key.
+    """
+    plain = docs.withColumn("_key", F.col("doc_id").cast("bigint"))
+    shared = plain.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1 OR _key IS NULL")
+    if shared.isEmpty():
+        return plain, True
+    order = ["_none", "_id", "_tie"]
+    tied = plain.drop("_key").withColumns({
+        "_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
+        "_tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+    })
+    pinned = stored(tied.select(*order).distinct().repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
+    sizes = pinned.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row per task
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    ranks = pinned.join(F.broadcast(before), "_part").select(*order, (F.col("_before") + place).alias("_key"))
+    return stored(tied.join(ranks, order).drop(*order), "ranked-rows"), False
+
+
+def join_lists(facts: DataFrame, lists: DataFrame, key: str, column: str, how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Joins facts to a stored table of one list of numbers per key; broadcast if the lists are few."""
+    taken = lists.agg(F.sum(F.size(column) * 8 + 64)).first()[0] or 0
+    return facts.join(F.broadcast(lists) if taken <= limit else lists, key, how)

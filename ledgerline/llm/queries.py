@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import genetic, language, packing, quality_model, quality_rules, repeats, simhash, sketches
+from ledgerline.llm import (
+    genetic, language, line_dedup, mixing, packing, quality_model, quality_rules, repeats, simhash, sketches,
+)
 from ledgerline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +71,15 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without byte strings that start earlier."""
     return repeats.report(documents(spark, folder))
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Raked weight and sampling probability of every document."""
+    return mixing.report(documents(spark, folder))
+
+
+@query("op4_line_dedup", line_dedup.SQL)
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of every document that nearly repeat an earlier line."""
+    return line_dedup.report(documents(spark, folder))
