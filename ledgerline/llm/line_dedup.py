@@ -52,7 +52,8 @@ def _with_tokens(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 
 def _class_ranks(lines: DataFrame) -> Column:
     """Rank by rarity of each hash class, as a constant array of CLASSES numbers."""
-    tokens = _with_tokens(lines).select(F.explode("tokens").alias("t"))
+    # Outer, as a plain explode would repeat the tokens' expression in a filter on its size.
+    tokens = _with_tokens(lines).select(F.explode_outer("tokens").alias("t"))
     counts = tokens.groupBy(F.pmod("t", F.lit(CLASSES)).alias("c")).agg(F.count("*").alias("n")).collect()
     ranks = ["0"] * CLASSES
     for place, row in enumerate(sorted(counts, key=lambda r: (r["n"], r["c"]))):
@@ -72,7 +73,7 @@ def _prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
         "_t", lambda t: F.shiftleft(rank(t), 50).bitwiseOR(t.bitwiseAND(F.lit(LOW_BITS)))
     )))
     prefix = F.expr(f"slice(_o, 1, n - ({P} * n + {Q - 1}) DIV {Q} + 1)")
-    rows = ordered.select("_key", "line", "n", F.posexplode(prefix).alias("place", "token"))
+    rows = ordered.select("_key", "line", "n", F.posexplode_outer(prefix).alias("place", "token"))
     return rows.withColumn("place", F.col("place") + 1)
 
 
@@ -90,7 +91,7 @@ def _verified(pairs: DataFrame, base: DataFrame) -> DataFrame:
     ends = pairs.select(F.col("x_key").alias("_key"), F.col("x_line").alias("line")).union(pairs.select("y_key", "y_line")).distinct()
     lists = stored(ends.groupBy("_key").agg(F.collect_set("line").alias("_wanted")), "wanted-lines")
     wanted = join_lists(base, lists, "_key", "_wanted", "inner").select(
-        "_key", F.explode("_wanted").alias("line"), F.split("text", "\n").alias("_all")
+        "_key", F.explode_outer("_wanted").alias("line"), F.split("text", "\n").alias("_all")
     ).select("_key", "line", F.expr("_all[line]").alias("string"))
     sets = stored(_with_tokens(wanted).select("_key", "line", F.array_distinct("tokens").alias("t")), "line-sets")
     x = sets.select(F.col("_key").alias("x_key"), F.col("line").alias("x_line"), F.col("t").alias("xt"))
@@ -109,7 +110,7 @@ def kept_lines(base: DataFrame) -> DataFrame:
     firsts = stored(same.agg(F.min(F.struct("_key", "line")).alias("f")).select("f._key", "f.line"), "first-lines")
     lists = stored(firsts.groupBy("_key").agg(F.collect_list("line").alias("_firsts")), "first-line-lists")
     opened = join_lists(base, lists, "_key", "_firsts", "inner").select(
-        "_key", F.explode("_firsts").alias("line"), F.split("text", "\n").alias("_all")
+        "_key", F.explode_outer("_firsts").alias("line"), F.split("text", "\n").alias("_all")
     ).select("_key", "line", F.expr("_all[line]").alias("string"))
     rows = _prefix_rows(opened, _class_ranks(lines))
     groups = Window.partitionBy("token")
@@ -120,7 +121,7 @@ def kept_lines(base: DataFrame) -> DataFrame:
     stars = shared.withColumn("_first", F.first(me).over(in_order)).withColumn("_last", F.lag(me).over(in_order))
     near = stars.select(
         F.col("_key").alias("y_key"), F.col("line").alias("y_line"), F.col("n").alias("yn"), F.col("place").alias("yplace"),
-        F.explode(F.array("_first", "_last")).alias("x"),
+        F.explode_outer(F.array("_first", "_last")).alias("x"),
     ).select("y_key", "y_line", "yn", "yplace", F.col("x._key").alias("x_key"), F.col("x.line").alias("x_line"),
              F.col("x.n").alias("xn"), F.col("x.place").alias("xplace"))
     earlier = F.expr("x_key < y_key OR (x_key = y_key AND x_line < y_line)")
