@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import join_few, keyed, stored
 from ledgerline.llm.components import components
 
 SEED = 42
@@ -126,3 +126,16 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint as 16 hexadecimal digits, component_id."""
     found = simhash_components(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, ngram: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows, in the same columns, whose document comes first in its group.
+
+    Of rows that share id and text one stays. Only the keys of dropped documents are joined
+    back; they are broadcast while they are few.
+    """
+    rows, unique = keyed(docs)
+    base = rows if unique else rows.dropDuplicates(["_key"])
+    found = simhash_components(base.select(F.col("_key").alias("doc_id"), "text"), ngram, max_bits)
+    dropped = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key"), F.lit(True).alias("_gone")), "copies")
+    return join_few(base, dropped, ["_key"], row_bytes=24, salts=1).where("_gone IS NULL").select(*docs.columns)
