@@ -52,6 +52,11 @@ def _brackets(base: DataFrame, keys: list[str], probabilities: Sequence[float])
     return merged.where(F.col("_n") > 0).select(*keys, "_n", *edges)
 
 
+def _scale(value: Column) -> Column:
+    """Keeps the order, and spreads a heavy tail: slots are equally wide on this scale."""
+    return F.signum(value) * F.log1p(F.abs(value))
+
+
 def _slot(count: int) -> tuple[Column, Column]:
     """Order-preserving slot number of ``_v`` and whether it lies inside a bracket."""
     width = SLOTS_PER_BRACKET
@@ -63,9 +68,10 @@ def _slot(count: int) -> tuple[Column, Column]:
     for i in reversed(range(count)):
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         here = F.col("_v").between(low, high)
+        bottom, top = _scale(low), _scale(high)
         step = F.when(
-            high > low,
-            F.least(F.floor((F.col("_v") - low) / (high - low) * width), F.lit(width - 1)),
+            top > bottom,
+            F.least(F.floor((_scale(F.col("_v")) - bottom) / (top - bottom) * width), F.lit(width - 1)),
         ).otherwise(F.lit(0))
         slot = F.when(here, F.lit(i * (width + 2) + 1) + step).otherwise(slot)
         inside = inside | here

@@ -10,8 +10,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_BYTES_PER_CORE = 16 << 20
 HOT_ROWS = 5_000_000  # so that even 10^12 rows have few hot keys
+HOT_KEY_BYTES, HOT_LIST_BYTES = 256, 32 << 20
+FIT_PARTITIONS = 8
+FIT_PARTITION_BYTES = 128 << 20
 
 
 def measured(table: DataFrame) -> DataFrame:
@@ -32,13 +34,15 @@ def scanned_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where the input is too small to be split that far by itself.
+    """Rows dealt by their hash over a number of partitions that the input's size alone sets.
 
-    An iterative learner works on as many tasks as there are partitions, and one small file
-    gives one. Inputs of some size keep their own splits.
+    Learners draw samples partition by partition in row order, so the rows are also sorted
+    by the hash: the same table gives the same model on any cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scanned_bytes(df) < cores * MIN_BYTES_PER_CORE else df
+    parts = FIT_PARTITIONS + scanned_bytes(df) // FIT_PARTITION_BYTES
+    place = F.xxhash64(*[F.col(c) for c in df.columns])
+    dealt = df.withColumn("_place", place).repartition(parts, "_place")
+    return dealt.sortWithinPartitions("_place").drop("_place")
 
 
 def known_bytes(table: DataFrame) -> int:
@@ -65,14 +69,17 @@ def lookup_join(
     Within the broadcast limit the table is broadcast. Beyond it the join shuffles by key,
     and only the keys that hold over ``hot_rows`` fact rows are salted: their fact rows
     spread over ``salts`` copies of the table's row. Null keys, which match nothing, spread
-    as well. The salt is a hash of the row, so a repeated task gives the same rows.
+    as well. Equal rows get different salts too; whatever a row's salt is, it meets its
+    table row exactly once, so a repeated task gives the same rows.
     """
     keys = list(on)
     if fits_broadcast(table):
         return facts.join(F.broadcast(table), keys, "left")
     counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
     hot = measured(counts.where(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias("_hot")))
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    if hot.count() * HOT_KEY_BYTES <= max(broadcast_limit(table), HOT_LIST_BYTES):
+        hot = F.broadcast(hot)
+    row_salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     left = facts.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot") | no_key, row_salt).otherwise(0)

@@ -73,19 +73,23 @@ def route_features(df: DataFrame, start: str, end: str, ts: str) -> DataFrame:
     })
 
 
-def one_hot_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct values that become columns. A wider column belongs in ``one_hot_long``."""
-    rows = df.select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has over {limit} values; use one_hot_long for it")
-    return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
+def one_hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Distinct values of each column, which become columns; one pass over all of them.
 
+    Each value will be a column of the result, so it is the result's width that bounds them:
+    a column with very many values belongs in ``one_hot_long``.
+    """
+    sets = df.agg(*[F.collect_set(c).alias(c) for c in columns], *[
+        F.bool_or(F.col(c).isNull()).alias(f"_null_{c}") for c in columns
+    ]).first()
+    return {c: sorted(sets[c]) + [None] * bool(sets[f"_null_{c}"]) for c in columns}
 
-def one_hot_columns(df: DataFrame, columns: Sequence[str], separator: str = "_", limit: int = 1000) -> DataFrame:
+
+def one_hot_columns(df: DataFrame, columns: Sequence[str], separator: str = "_") -> DataFrame:
     """Replace code columns by 0/1 columns, one per value present (null has its own)."""
     new: list[Column] = [F.col(c) for c in df.columns if c not in columns]
-    for c in columns:
-        for value in one_hot_values(df, c, limit):
+    for c, values in one_hot_values(df, list(columns)).items():
+        for value in values:
             name = f"{c}{separator}{'null' if value is None else value}"
             new.append(F.col(c).eqNullSafe(F.lit(value)).cast("byte").alias(name))
     return df.select(*new)

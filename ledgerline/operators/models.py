@@ -17,6 +17,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -27,18 +28,24 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    GBTRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.expressions import row_sum
-from ledgerline.functions.quantiles import median_value
+from ledgerline.functions.quantiles import column_quantiles, median_value
 from ledgerline.functions.sizing import spread
 from ledgerline.operators.encoders import (
     CategoryEncoder,
     ConstantImputer,
     MedianImputer,
     ModeImputer,
+    OrdinalEncoder,
     PopulationScaler,
     column_modes,
 )
@@ -55,7 +62,10 @@ from ledgerline.session import use_checkpoints
 FEATURES = "features"
 PREDICTION = "prediction"
 VANISHING = 1e-10
-NORMAL_SOLVER_FEATURES = 4096  # MLlib's own limit for the normal equations
+# MLlib's own limit for the normal equations. Beyond it the same minimum is found by steps,
+# which must end by their tolerance.
+NORMAL_SOLVER_FEATURES = 4096
+MAX_ITERATIONS, ITERATION_TOLERANCE = 2000, 1e-12
 
 
 # Preprocessing -------------------------------------------------------------------------
@@ -69,15 +79,20 @@ class Preprocessing:
     categorical: Sequence[str] = ()
     passthrough: Sequence[str] = ()
     numeric_fill: str | float | None = "median"
-    categorical_fill: str | float | None = "mode"
+    indicator: bool = False  # a 0/1 column per numeric one that marks its nulls
+    categorical_fill: str | float | Mapping[str, object] | None = "mode"  # a mapping has one constant per column
     scale: bool = True
     one_hot: bool = True
+    ordinal: bool = False  # codes as numbers in sorted order, -1 for values training never saw
     min_frequency: int | None = None
     forbidden: Sequence[str] = field(default=())
 
     def columns(self) -> list[str]:
         return [*self.numeric, *self.categorical, *self.passthrough]
 
+    def flags(self) -> list[str]:
+        return [f"{c}__missing" for c in self.numeric] if self.indicator else []
+
     def stages(self) -> list[Estimator | Transformer]:
         """Working copies, imputers, scaler, encoders and the final vector.
 
@@ -88,26 +103,34 @@ class Preprocessing:
         stages: list[Estimator | Transformer] = [SQLTransformer(statement=f"SELECT *, {copies} FROM __THIS__")]
         numeric = [f"{c}__in" for c in self.numeric]
         categorical = [f"{c}__in" for c in self.categorical]
+        if numeric and self.indicator:
+            flags = ", ".join(f"CAST(`{c}` IS NULL AS int) AS `{c}__missing`" for c in self.numeric)
+            stages.append(SQLTransformer(statement=f"SELECT *, {flags} FROM __THIS__"))
         if numeric and self.numeric_fill == "median":
             stages.append(MedianImputer(numeric, indicator=False))
         elif numeric and self.numeric_fill is not None:
             stages.append(ConstantImputer(numeric, self.numeric_fill))
         if numeric and self.scale:
             stages.append(PopulationScaler(numeric))
-        inputs = [*numeric, *[f"{c}__in" for c in self.passthrough]]
+        inputs = [*numeric, *self.flags(), *[f"{c}__in" for c in self.passthrough]]
         if categorical:
-            if self.categorical_fill == "mode":
+            if isinstance(self.categorical_fill, Mapping):
+                stages += [ConstantImputer([f"{c}__in"], value) for c, value in self.categorical_fill.items()]
+            elif self.categorical_fill == "mode":
                 stages.append(ModeImputer(categorical))
             elif self.categorical_fill is not None:
                 stages.append(ConstantImputer(categorical, self.categorical_fill))
             if self.min_frequency:
                 stages.append(CategoryEncoder(categorical, self.min_frequency))
-            indexed = [f"{c}__index" for c in self.categorical]
-            stages.append(StringIndexer(
-                inputCols=categorical, outputCols=indexed,
-                handleInvalid="keep", stringOrderType="alphabetAsc",
-            ))
-            if self.one_hot:
+            indexed = [f"{c}__in__index" for c in self.categorical]
+            if self.ordinal:
+                stages.append(OrdinalEncoder(categorical, suffix="__index"))
+            else:
+                stages.append(StringIndexer(
+                    inputCols=categorical, outputCols=indexed,
+                    handleInvalid="keep", stringOrderType="alphabetAsc",
+                ))
+            if self.one_hot and not self.ordinal:
                 # The dropped last slot is the unknown one, so unknown and null are all zeros.
                 hot = [f"{c}__hot" for c in self.categorical]
                 stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True))
@@ -119,8 +142,8 @@ class Preprocessing:
 
     def tidy(self) -> SQLTransformer:
         """Removes the vector and the working columns after the model."""
-        made = [FEATURES, *[f"{c}__in" for c in self.columns()], *[f"{c}__index" for c in self.categorical]]
-        if self.one_hot:
+        made = [FEATURES, *[f"{c}__in" for c in self.columns()], *self.flags(), *[f"{c}__in__index" for c in self.categorical]]
+        if self.one_hot and not self.ordinal and self.categorical:
             made += [f"{c}__hot" for c in self.categorical]
         names = ", ".join(f"`{c}`" for c in made)
         return SQLTransformer(statement=f"SELECT * EXCEPT ({names}) FROM __THIS__")
@@ -153,10 +176,29 @@ def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: s
         prepared = assemble(rows, preprocessing)
         vectors = prepared.transform(rows)
         estimator = learner if isinstance(learner, Estimator) else learner(vectors)
-        fitted = estimator.fit(vectors)
+        fitted = enough_bins(estimator, vectors).fit(vectors)
+        require_converged(fitted)
     return PipelineModel([*prepared.stages, fitted, preprocessing.tidy(), *after])
 
 
+def enough_bins(estimator: Estimator, vectors: DataFrame) -> Estimator:
+    """The tree learner with bins for every value of its widest code column."""
+    tree = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
+    if not tree.hasParam("maxBins"):
+        return estimator
+    nominal = vectors.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+    widest = max((len(a["vals"]) if "vals" in a else a.get("num_vals", 0) for a in nominal), default=0)
+    tree.set(tree.getParam("maxBins"), max(tree.getOrDefault("maxBins"), widest))
+    return estimator
+
+
+def require_converged(model) -> None:
+    """An iterative least-squares fit must have ended by its tolerance, not by its step limit."""
+    if isinstance(model, LinearRegressionModel) and model.hasSummary:
+        if model.getSolver() == "l-bfgs" and model.summary.totalIterations >= model.getMaxIter():
+            raise RuntimeError("least squares did not converge; raise maxIter")
+
+
 # Learners ------------------------------------------------------------------------------
 
 
@@ -207,6 +249,7 @@ def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha
             featuresCol=FEATURES, labelCol=label, predictionCol=output, elasticNetParam=0.0,
             regParam=penalty * (deviation or 1.0), standardization=False,
             fitIntercept=fit_intercept, solver="normal" if normal else "l-bfgs",
+            maxIter=MAX_ITERATIONS, tol=ITERATION_TOLERANCE,
         )
 
     after = [SQLTransformer(
@@ -225,13 +268,22 @@ def gradient_boosting(target: str, trees: int = 100, step: float = 0.05, depth:
 
 def boosted_classifier(target: str, trees: int = 200, step: float = 0.1, depth: int = 5,
                        max_bins: int = 320, seed: int = 42) -> GBTClassifier:
-    """Binary only; see ``forest_classifier`` for several classes."""
+    """Binary only; see ``boosted_multiclass`` and ``forest_classifier`` for several classes."""
     return GBTClassifier(
         featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION, maxIter=trees, stepSize=step,
         maxDepth=depth, maxBins=max_bins, seed=seed, checkpointInterval=10,
     )
 
 
+def boosted_multiclass(target: str, trees: int = 200, step: float = 0.1, depth: int = 5,
+                       max_bins: int = 320, seed: int = 42, prediction: str = PREDICTION) -> OneVsRest:
+    """One boosted classifier per class against the others; the surest one decides."""
+    return OneVsRest(
+        classifier=boosted_classifier(target, trees, step, depth, max_bins, seed).setPredictionCol(prediction),
+        featuresCol=FEATURES, labelCol=target, predictionCol=prediction,
+    )
+
+
 def forest_classifier(target: str, trees: int = 50, depth: int = 8, max_bins: int = 320,
                       seed: int = 42, prediction: str = PREDICTION) -> RandomForestClassifier:
     return RandomForestClassifier(
@@ -261,7 +313,7 @@ def fit_forest_multi(train: DataFrame, preprocessing: Preprocessing, targets: Se
         vectors = prepared.transform(rows)
         for target in targets:
             learner = random_forest(target, trees, depth, min_leaf, max_bins, prediction=f"{target}_prediction")
-            forests.append(learner.fit(vectors.where(F.col(target).isNotNull())))
+            forests.append(enough_bins(learner, vectors).fit(vectors.where(F.col(target).isNotNull())))
     return PipelineModel([*prepared.stages, *forests, preprocessing.tidy()])
 
 
@@ -316,13 +368,16 @@ def fit_two_stage_target(train: DataFrame, preprocessing: Preprocessing, target:
 
 
 def fit_fixed_amount_target(train: DataFrame, preprocessing: Preprocessing, target: str,
-                            trees: int = 50, max_bins: int = 320) -> Bundle:
-    """Classes are the distinct training amounts; the predicted class maps back to its amount."""
+                            trees: int = 200, max_bins: int = 320, boosted: bool = True) -> Bundle:
+    """Classes are the distinct training amounts; the predicted class maps back to its amount.
+
+    ``boosted`` fits one boosted classifier per amount, else one forest for all.
+    """
     known = train.where(F.col(target).isNotNull()).withColumn("_amount_text", F.col(target).cast("string"))
     labels = StringIndexer(inputCol="_amount_text", outputCol="_label", stringOrderType="alphabetAsc").fit(known)
     indexed = labels.transform(known)
     back = IndexToString(inputCol=PREDICTION, outputCol="_label_text", labels=labels.labels)
-    learner = forest_classifier("_label", trees, max_bins=max_bins)
+    learner = (boosted_multiclass if boosted else forest_classifier)("_label", trees, max_bins=max_bins)
     model = fit_model(indexed, preprocessing, learner, "_label", [back])
     return Bundle("classification", {"classifier": model})
 
@@ -348,12 +403,17 @@ def evaluate_bundles(train: DataFrame, test: DataFrame, bundles: Mapping[str, Bu
     with kept(scored) as predicted:
         table = multi_target_eval(predicted, {t: f"{t}_prediction" for t in bundles}, total)
         rows = {r["target"]: r.asDict() for r in table.collect()}
+        coded = [t for t, b in bundles.items() if b.kind == "classification"]
+        measures = [t for t in bundles if t not in coded]
+        with kept(train.select(*bundles)) as answers:  # all modes in one pass, all medians in one
+            constants = column_modes(answers, coded) if coded else {}
+            if measures:
+                constants |= {r["column"]: r["q0"] for r in column_quantiles(answers, measures, [0.5]).collect()}
         for target, bundle in bundles.items():
             row, prediction = rows[target], f"{target}_prediction"
             known = predicted.where(F.col(target).isNotNull())
             row["kind"] = bundle.kind
-            classes = bundle.kind == "classification"
-            baseline = column_modes(train, [target])[target] if classes else median_value(train, target)
+            classes, baseline = bundle.kind == "classification", constants.get(target)
             row["baseline_mae"] = known.agg(F.avg(F.abs(F.col(target) - F.lit(baseline)))).first()[0]
             if classes:
                 # An amount unseen in training is simply wrong.
@@ -380,21 +440,14 @@ def evaluate_bundles(train: DataFrame, test: DataFrame, bundles: Mapping[str, Bu
 
 def compare_models(train: DataFrame, test: DataFrame, target: str,
                    variants: Mapping[str, Callable[[DataFrame], Transformer]]) -> DataFrame:
-    """experiment, metrics, fit_seconds and predict_seconds of each variant on the same split."""
+    """experiment and metrics of each variant on the same split."""
     rows = []
     with kept(spread(train)) as train_rows, kept(test) as test_rows:
         for name, fit in variants.items():
-            started = time.perf_counter()
-            model = fit(train_rows)
-            fit_seconds = time.perf_counter() - started
-            started = time.perf_counter()
-            with kept(model.transform(test_rows).select(target, PREDICTION)) as scored:
-                metrics = regression_metrics(scored, target, PREDICTION).first()
-            rows.append((name, *metrics, fit_seconds, time.perf_counter() - started))
+            with kept(fit(train_rows).transform(test_rows).select(target, PREDICTION)) as scored:
+                rows.append((name, *regression_metrics(scored, target, PREDICTION).first()))
     return train.sparkSession.createDataFrame(
-        rows,
-        "experiment string, row_count long, mae double, rmse double, median_ae double, r2 double, "
-        "fit_seconds double, predict_seconds double",
+        rows, "experiment string, row_count long, mae double, rmse double, median_ae double, r2 double"
     )
 
 

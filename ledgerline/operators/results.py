@@ -51,9 +51,12 @@ def result_violations(records: DataFrame, author: str | None = None) -> DataFram
 
 
 def require_valid_results(records: DataFrame, author: str | None = None) -> None:
-    broken = result_violations(records, author).limit(20).collect()
+    """Raises with the number of records that break each rule, and one author per rule."""
+    broken = result_violations(records, author).groupBy("problem").agg(
+        F.count("*").alias("n"), F.min("author").alias("author")
+    ).orderBy("problem").collect()
     if broken:
-        raise ValueError(f"invalid result records: {[(r['author'], r['problem']) for r in broken]}")
+        raise ValueError(f"invalid result records: {[(r['problem'], r['n'], r['author']) for r in broken]}")
 
 
 def scan_results_json(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Models on the trip split: fit on its training side, score every test row.
 
 The target is the amount (price after discount, with tax); features are what it is made
-of, plus codes. Trees and depth are kept small here; the functions default to more.
+of, plus codes. Ensembles run at the functions' default sizes. SQL checks their rows and
+what must hold of them: they beat the constant, and they stay inside the bounds of the
+training answers. Their exactness is checked where it can be stated: one tree on one code
+column deep enough to isolate each code predicts the mean or the majority of its code.
 """
 
 from __future__ import annotations
@@ -48,6 +51,22 @@ def sides(spark, folder):
     return rows.where(F.col("split") == "train").drop("split"), rows.where(F.col("split") == "test").drop("split")
 
 
+_HOLDS = "SELECT count(*) AS row_count, true AS beats_constant, true AS inside_bounds FROM test"
+
+
+def _relations(train, test, model, target="amount"):
+    """Rows, whether the absolute error is below the training median's, and whether every
+    prediction lies between the training answers' ends, within their width."""
+    ends = train.agg(F.min(target).alias("low"), F.max(target).alias("high"), F.avg(target).alias("mean")).first()
+    margin = ends["high"] - ends["low"]
+    error = F.avg(F.abs(F.col(m.PREDICTION) - F.col(target)))
+    constant = F.avg(F.abs(F.lit(float(ends["mean"])) - F.col(target)))
+    inside = F.col(m.PREDICTION).between(float(ends["low"] - margin), float(ends["high"] + margin))
+    return model.transform(test).agg(
+        F.count("*").alias("row_count"), (error < constant).alias("beats_constant"), F.bool_and(inside).alias("inside_bounds"),
+    )
+
+
 def _scored(model, test, target="amount"):
     with m.kept(model.transform(test).select(target, m.PREDICTION)) as scored:
         metrics = ev.regression_metrics(scored, target, m.PREDICTION)
@@ -95,10 +114,10 @@ def ridge(spark, folder):
     return m.fit_ridge(train, one, "amount", alpha=100.0).transform(test).select(*TRIP_IDS, "prediction")
 
 
-@query("linear_regression_codes")
+@query("linear_regression_codes", f"WITH {_SPLIT_SQL} {_HOLDS}")
 def linear_regression_codes(spark, folder):
     train, test = sides(spark, folder)
-    return _scored(m.fit_linear(train, PLAIN, "amount"), test)
+    return _relations(train, test, m.fit_linear(train, PLAIN, "amount"))
 
 
 @query("ridge_log_target", f"""
@@ -116,69 +135,146 @@ def ridge_log_target(spark, folder):
     return _scored(m.fit_ridge(train, one, "amount", alpha=10.0, log_target=True), test)
 
 
-@query("gradient_boosting")
+@query("gradient_boosting", f"WITH {_SPLIT_SQL} {_HOLDS}")
 def gradient_boosting(spark, folder):
     train, test = sides(spark, folder)
-    return _scored(m.fit_model(train, TREES, m.gradient_boosting("amount", trees=10, step=0.3, max_bins=64), "amount"), test)
+    return _relations(train, test, m.fit_model(train, TREES, m.gradient_boosting("amount"), "amount"))
+
+
+_CODE_MEAN_SQL = f"""
+WITH {_SPLIT_SQL}, means AS (SELECT o_orderpriority, avg(amount) AS prediction FROM train GROUP BY o_orderpriority)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, prediction FROM test JOIN means USING (o_orderpriority)"""
+ONE_CODE = m.Preprocessing(categorical=["o_orderpriority"], categorical_fill=None, scale=False, one_hot=False)
+
+
+@query("one_tree_boosting", _CODE_MEAN_SQL, rounded="prediction", digits=4)
+def one_tree_boosting(spark, folder):
+    """A single boosting step of full size on one code column: the training mean of each code."""
+    train, test = sides(spark, folder)
+    model = m.fit_model(train, ONE_CODE, m.gradient_boosting("amount", trees=1, step=1.0), "amount")
+    return model.transform(test).select(*TRIP_IDS, m.PREDICTION)
+
+
+def _majority_sql(answer: str) -> str:
+    return f"""
+WITH {_SPLIT_SQL}, counted AS (SELECT o_orderpriority, {answer} AS answer, count(*) AS n FROM train GROUP BY ALL),
+best AS (SELECT o_orderpriority, arg_max(answer, n) AS answer FROM counted GROUP BY o_orderpriority)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(best.answer AS DOUBLE) AS prediction
+FROM test JOIN best USING (o_orderpriority)"""
+
+
+_BAND_SQL = "CASE WHEN amount < 30000 THEN 0 WHEN amount < 60000 THEN 1 ELSE 2 END"
+
+
+def _with_band(rows):
+    return rows.withColumn("band", F.when(F.col("amount") < 30_000, 0.0).when(F.col("amount") < 60_000, 1.0).otherwise(2.0))
 
 
-@query("boosted_classifier")
+@query("majority_multiclass", _majority_sql(_BAND_SQL))
+def majority_multiclass(spark, folder):
+    """One boosting step per band on one code column: the most frequent band of each code."""
+    train, test = [_with_band(s) for s in sides(spark, folder)]
+    model = m.fit_model(train, ONE_CODE, m.boosted_multiclass("band", trees=1, step=1.0), "band")
+    return model.transform(test).select(*TRIP_IDS, m.PREDICTION)
+
+
+def _classified(train, test, model, label):
+    """Rows, and whether more of them are right than with the most frequent training class."""
+    top = train.groupBy(label).count().orderBy(F.desc("count"), label).first()[label]
+    right = F.avg((F.col(m.PREDICTION) == F.col(label)).cast("double"))
+    return model.transform(test).agg(
+        F.count("*").alias("row_count"), (right > F.avg((F.col(label) == top).cast("double"))).alias("beats_constant")
+    )
+
+
+_BETTER = "SELECT count(*) AS row_count, true AS beats_constant FROM test"
+
+
+@query("boosted_classifier", f"WITH {_SPLIT_SQL} {_BETTER}")
 def boosted_classifier(spark, folder):
     train, test = [s.withColumn("high", threshold_label("amount", 50_000).cast("double")) for s in sides(spark, folder)]
-    model = m.fit_model(train, TREES, m.boosted_classifier("high", trees=5, max_bins=64), "high")
-    return ev.classification_metrics(model.transform(test), "high", m.PREDICTION, positive=1.0, baseline=0.0)
+    return _classified(train, test, m.fit_model(train, TREES, m.boosted_classifier("high"), "high"), "high")
 
 
-@query("multiclass_classifier")
+@query("multiclass_classifier", f"WITH {_SPLIT_SQL} {_BETTER}")
 def multiclass_classifier(spark, folder):
-    band = F.when(F.col("amount") < 30_000, 0.0).when(F.col("amount") < 60_000, 1.0).otherwise(2.0)
-    train, test = [s.withColumn("band", band) for s in sides(spark, folder)]
-    model = m.fit_model(train, TREES, m.forest_classifier("band", trees=10, max_bins=64), "band")
-    return ev.classification_metrics(model.transform(test), "band", m.PREDICTION, positive=2.0, baseline=1.0)
+    train, test = [_with_band(s) for s in sides(spark, folder)]
+    return _classified(train, test, m.fit_model(train, TREES, m.forest_classifier("band"), "band"), "band")
+
 
+def _total_holds(train, test, predicted, pairs, total):
+    """Per target and for the sum: rows, and whether it beats the training means."""
+    means = train.agg(*[F.avg(t).alias(t) for t in pairs]).first().asDict()
+    means[total] = sum(means.values())
+    pairs = {**pairs, total: f"{total}_prediction"}
+    answers = predicted.withColumn(total, sum((F.col(t) for t in means if t != total), F.lit(0.0))).withColumn(
+        f"{total}_prediction", sum((F.col(p) for t, p in pairs.items() if t != total), F.lit(0.0)))
+    checks = [F.struct(
+        F.lit(t).alias("target"), F.count("*").alias("row_count"),
+        (F.avg(F.abs(F.col(p) - F.col(t))) < F.avg(F.abs(F.lit(float(means[t])) - F.col(t)))).alias("beats_constant"),
+    ) for t, p in pairs.items()]
+    return answers.agg(F.array(*checks).alias("r")).select(F.inline("r"))
 
-@query("random_forest_multi")
+
+_PARTS_SQL = f"""
+WITH {_SPLIT_SQL} SELECT target, (SELECT count(*) FROM test) AS row_count, true AS beats_constant
+FROM (VALUES ('net'), ('tax'), ('total')) t(target)"""
+
+
+@query("random_forest_multi", _PARTS_SQL)
 def random_forest_multi(spark, folder):
     train, test = sides(spark, folder)
-    model = m.fit_forest_multi(train, TREES, ["net", "tax"], trees=5, depth=6, max_bins=64)
-    pairs = {"net": "net_prediction", "tax": "tax_prediction"}
-    return ev.multi_target_eval(model.transform(test), pairs, "amount")
+    model = m.fit_forest_multi(train, TREES, ["net", "tax"], trees=80, depth=15)
+    return _total_holds(train, test, model.transform(test), {"net": "net_prediction", "tax": "tax_prediction"}, "total")
 
 
-def _bundle_metrics(spark, folder, kind, target, **options):
+def _bundle_holds(spark, folder, kind, target, **options):
+    """Rows, and whether the error is below that of the training median or mode."""
     train, test = sides(spark, folder)
     bundle = m.FITTERS[kind](train, GIVEN, target, **options)
-    return m.evaluate_bundles(train, test, {target: bundle})
+    scores = m.evaluate_bundles(train, test, {target: bundle})
+    better = F.col("accuracy") > F.col("baseline_accuracy") if kind == "classification" else F.col("mae") < F.col("baseline_mae")
+    return scores.select("target", "kind", "row_count", better.alias("beats_constant"))
+
 
+def _bundle_sql(kind: str, target: str) -> str:
+    return f"WITH {_SPLIT_SQL} SELECT '{target}' AS target, '{kind}' AS kind, count(*) AS row_count, true AS beats_constant FROM test"
 
-@query("continuous_target")
+
+@query("continuous_target", _bundle_sql("regression", "l_tax"))
 def continuous_target(spark, folder):
-    return _bundle_metrics(spark, folder, "regression", "l_tax", trees=5, max_bins=64)
+    return _bundle_holds(spark, folder, "regression", "l_tax")
 
 
-@query("two_stage_target")
+@query("two_stage_target", _bundle_sql("two_stage", "l_discount"))
 def two_stage_target(spark, folder):
-    return _bundle_metrics(spark, folder, "two_stage", "l_discount", trees=4, max_bins=64)
+    return _bundle_holds(spark, folder, "two_stage", "l_discount")
 
 
-@query("fixed_amount_target")
+@query("fixed_amount_target", _bundle_sql("classification", "l_discount"))
 def fixed_amount_target(spark, folder):
-    return _bundle_metrics(spark, folder, "classification", "l_discount", trees=5, max_bins=64)
+    return _bundle_holds(spark, folder, "classification", "l_discount", boosted=False)
 
 
-@query("predict_bundle")
+@query("predict_bundle", f"""
+WITH {_SPLIT_SQL} SELECT count(*) AS row_count, 0 AS negative_rows, 0 AS rows_off_the_sum, 0 AS unknown_amounts FROM test
+""")
 def predict_bundle(spark, folder):
-    """One bundle of each kind on every test row, with the summed prediction."""
+    """One bundle of each kind on every test row: no negative amount, the total is the sum,
+    and a fixed amount is always one that training had."""
     train, test = sides(spark, folder)
     bundles = {
-        "tax": m.fit_continuous_target(train, TREES, "tax", trees=3, max_bins=64),
-        "l_discount": m.fit_two_stage_target(train, GIVEN, "l_discount", trees=3, max_bins=64),
-        "l_tax": m.fit_fixed_amount_target(train, GIVEN, "l_tax", trees=3, max_bins=64),
+        "tax": m.fit_continuous_target(train, TREES, "tax", trees=20),
+        "l_discount": m.fit_two_stage_target(train, GIVEN, "l_discount", trees=20),
+        "l_tax": m.fit_fixed_amount_target(train, GIVEN, "l_tax", trees=20, boosted=False),
     }
-    predicted = m.predict_bundles(bundles, test)
     names = [f"{t}_prediction" for t in bundles]
-    return predicted.agg(
-        F.count("*").alias("row_count"), *[F.avg(c).alias(c) for c in [*names, "total_prediction"]]
+    known = [r[0] for r in train.select("l_tax").distinct().collect()]
+    off = F.abs(F.col("total_prediction") - sum((F.col(c) for c in names), F.lit(0.0))) > 1e-9
+    return m.predict_bundles(bundles, test).agg(
+        F.count("*").alias("row_count"), F.count_if(F.least(*names) < 0).cast("int").alias("negative_rows"),
+        F.count_if(off).cast("int").alias("rows_off_the_sum"),
+        F.count_if(~F.col("l_tax_prediction").isin(known)).cast("int").alias("unknown_amounts"),
     )
 
 
@@ -230,13 +326,18 @@ def cross_validate_linear(spark, folder):
     return m.cross_validate(rows, TRIP_IDS, ["net", "tax"], fit, folds=5)
 
 
-@query("cross_validate")
+@query("cross_validate", f"""
+WITH {TRIP_SQL} SELECT target, 5 AS folds, (SELECT count(*) FROM trip) AS row_count, true AS beats_constant
+FROM (VALUES ('net'), ('tax'), ('total')) t(target)
+""")
 def cross_validate(spark, folder):
+    """Five folds of a forest per target; a mean R2 above 0 beats each fold's mean."""
     rows = trip(spark, folder).select(*TRIP_IDS, *NUMERIC, *CODES, "net", "tax")
-    return m.cross_validate(
+    scores = m.cross_validate(
         rows, TRIP_IDS, ["net", "tax"],
-        lambda part: m.fit_forest_multi(part, TREES, ["net", "tax"], trees=3, depth=5, max_bins=64), folds=3,
+        lambda part: m.fit_forest_multi(part, TREES, ["net", "tax"], trees=20, depth=10), folds=5,
     )
+    return scores.select("target", F.col("folds").cast("int").alias("folds"), "row_count", (F.col("r2_mean") > 0).alias("beats_constant"))
 
 
 def _compared(spark, folder):
@@ -258,20 +359,46 @@ def _compared(spark, folder):
     })
 
 
-@query("compare_models")
+_VARIANTS = ["constant_median", "ridge_base", "ridge_log", "ridge_no_intercept", "ridge_group_statistics"]
+
+
+@query("compare_models", f"""
+WITH {_SPLIT_SQL}, middle AS (SELECT quantile_cont(amount, 0.5) AS p FROM train)
+SELECT experiment, count(*) AS row_count,
+       CASE WHEN experiment = 'constant_median' THEN avg(abs(p - amount)) END AS constant_mae,
+       experiment <> 'constant_median' AS beats_constant
+FROM test, middle, (VALUES {", ".join(f"('{v}')" for v in _VARIANTS)}) t(experiment) GROUP BY experiment
+""", rounded="constant_mae", digits=4)
 def compare_models(spark, folder):
-    return _compared(spark, folder)
+    """Every variant on the same rows; the constant's error exactly, the others below it."""
+    scores = _compared(spark, folder)
+    constant = scores.where("experiment = 'constant_median'").first()["mae"]
+    is_constant = F.col("experiment") == "constant_median"
+    return scores.select("experiment", "row_count", F.when(is_constant, F.col("mae")).alias("constant_mae"),
+                         (F.col("mae") < constant).alias("beats_constant"))
 
 
-@query("best_model")
+@query("best_model", "SELECT 1 AS chosen, true AS smallest_error, false AS is_the_constant")
 def best_model(spark, folder):
-    return best_by_metric(_compared(spark, folder), "experiment", "mae", ["constant_median"])
+    """One variant is chosen; no other but the excluded constant has a smaller error."""
+    scores = _compared(spark, folder)
+    best = best_by_metric(scores, "experiment", "mae", ["constant_median"])
+    least = scores.where("experiment <> 'constant_median'").agg(F.min("mae")).first()[0]
+    return best.agg(
+        F.count("*").cast("int").alias("chosen"), F.bool_and(F.col("mae") == least).alias("smallest_error"),
+        F.bool_or(F.col("experiment") == "constant_median").alias("is_the_constant"),
+    )
 
 
-@query("high_value_classifier")
+@query("high_value_classifier", f"""
+WITH {_SPLIT_SQL} SELECT count(*) AS row_count, true AS better_than_chance, true AS f1_fits FROM test
+""")
 def high_value_classifier(spark, folder):
     train, test = [s.withColumn("high", threshold_label("amount", 80_000)) for s in sides(spark, folder)]
-    return m.high_value_classifier(train, test, LINEAR, "high")
+    scores = m.high_value_classifier(train, test, LINEAR, "high")
+    f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
+    return scores.select("row_count", (F.col("roc_auc") > 0.9).alias("better_than_chance"),
+                         (F.abs(f1 - F.col("f1")) < 1e-9).alias("f1_fits"))
 
 
 @query("compare_predictions", f"""
@@ -288,21 +415,24 @@ def compare_predictions(spark, folder):
     return m.compare_predictions(plain, shrunk, TRIP_IDS)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"WITH {_SPLIT_SQL} SELECT count(*) AS row_count, 0.0::DOUBLE AS max_difference FROM test")
 def model_roundtrip(spark, folder):
     train, test = sides(spark, folder)
-    model = m.fit_model(train, TREES, m.gradient_boosting("amount", trees=5, max_bins=64), "amount")
+    model = m.fit_model(train, TREES, m.gradient_boosting("amount", trees=20), "amount")
     return m.model_roundtrip(model, test, TRIP_IDS, scratch_path(spark, "model"))
 
 
-@query("model_reuse")
+@query("model_reuse", f"""
+WITH {_SPLIT_SQL} SELECT target, (SELECT count(*) FROM test) AS row_count, 'trained' AS first_source, 'loaded' AS second_source
+FROM (VALUES ('net'), ('tax'), ('amount')) t(target)
+""")
 def model_reuse(spark, folder):
     """The second call finds the saved bundles and only evaluates them."""
     train, test = sides(spark, folder)
     path = scratch_path(spark, "bundles")
     kinds = {"net": "regression", "tax": "regression"}
-    _, first = m.train_or_reuse(train, kinds, TREES, path, trees=3, max_bins=64)
-    bundles, second = m.train_or_reuse(train, kinds, TREES, path, trees=3, max_bins=64)
-    return m.evaluate_bundles(train, test, bundles, "amount").withColumns(
-        {"first_source": F.lit(first), "second_source": F.lit(second)}
+    _, first = m.train_or_reuse(train, kinds, TREES, path, trees=10)
+    bundles, second = m.train_or_reuse(train, kinds, TREES, path, trees=10)
+    return m.evaluate_bundles(train, test, bundles, "amount").select(
+        "target", "row_count", F.lit(first).alias("first_source"), F.lit(second).alias("second_source")
     )

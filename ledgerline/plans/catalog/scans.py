@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.quality import profile_table
 from ledgerline.plans.bindings import TRIP_IDS, events
 from ledgerline.plans.registry import query
 from ledgerline.session import scratch_path
@@ -29,22 +28,31 @@ def stable_row_id(spark, folder):
     return tables.scan_with_row_id(spark, f"{folder}/lineitem.parquet").select("source_row_id", *TRIP_IDS)
 
 
-@query("manifest_check")
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+_MANIFEST_SQL = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS file, true AS matches, (SELECT count(*) FROM {t}) AS row_count, "
+    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS column_count"
+    for t in _TABLES
+)
+
+
+@query("manifest_check", _MANIFEST_SQL)
 def manifest_check(spark, folder):
-    """Pins the tables of the folder, checks them against the pins, and adds rows and columns."""
-    pinned = manifest.file_manifest(spark, folder).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "sha256"
-    ).checkpoint()
-    checked = manifest.manifest_check(spark, folder, pinned)
+    """Each table's files against the manifest written before, with its rows and columns."""
+    path = scratch_path(spark, "manifest")
+    manifest.file_manifest(spark, folder).select("path", "bytes", "sha256").write.parquet(path)
+    files = manifest.manifest_check(spark, folder, spark.read.parquet(path))
+    name = F.regexp_extract("path", r"/(\w+\.parquet)(/|$)", 1)
+    same = files.groupBy(name.alias("file")).agg(F.bool_and("matches").alias("matches"))
     shapes = None
-    for name in ("lineitem", "orders", "events", "customer"):
-        shape = profile_table(tables.table(spark, folder, name)).groupBy(
-            F.lit(f"{name}.parquet").alias("file")
-        ).agg(F.max("row_count").alias("row_count"), F.count("*").alias("column_count"))
+    for t in _TABLES:
+        rows = tables.table(spark, folder, t)
+        shape = rows.agg(F.count("*").alias("row_count")).select(
+            F.lit(f"{t}.parquet").alias("file"), "row_count", F.lit(len(rows.columns)).cast("bigint").alias("column_count"))
         shapes = shape if shapes is None else shapes.unionByName(shape)
-    return checked.join(shapes, "file", "left").select(
-        "file", "bytes", "sha256", "matches", "row_count", "column_count"
-    )
+    return same.join(shapes, "file").select("file", "matches", "row_count", "column_count")
 
 
 _DAILY_SQL = """

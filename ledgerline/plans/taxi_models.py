@@ -20,6 +20,10 @@ from ledgerline.plans import taxi
 
 FORBIDDEN = [*taxi.PARTS, taxi.TOTAL]
 
+# The sizes of the two forests.
+PART_FOREST = {"trees": 100, "depth": 15, "min_leaf": 1}
+MULTI_OUTPUT_FOREST = {"trees": 80, "depth": 20, "min_leaf": 50}
+
 # Which kind of model each part gets.
 PART_KINDS = {
     "fare_amount": "regression", "extra": "regression",
@@ -31,7 +35,8 @@ PART_KINDS = {
 
 FINAL = m.Preprocessing(
     numeric=taxi.NUMERIC_FEATURES, categorical=[*taxi.CODE_FEATURES, "store_and_fwd_flag"],
-    numeric_fill=0, categorical_fill=None, scale=False, one_hot=False, forbidden=FORBIDDEN,
+    numeric_fill=0, scale=False, one_hot=False, forbidden=FORBIDDEN,
+    categorical_fill={**dict.fromkeys(taxi.CODE_FEATURES, taxi.UNKNOWN_RATE_CODE), "store_and_fwd_flag": "Unknown"},
 )
 PICKUP_TIME = m.Preprocessing(
     numeric=["trip_distance", "passenger_count"], categorical=["pickup_hour", "pickup_weekday", "RatecodeID"],
@@ -53,7 +58,7 @@ ROUTE_STATISTICS = m.Preprocessing(
 PER_PART = m.Preprocessing(
     numeric=["passenger_count", "trip_distance", "trip_time_minutes", "pickup_hour", "pickup_weekday"],
     categorical=["VendorID", "RatecodeID", "PULocationID", "DOLocationID", "payment_type", "is_weekend"],
-    one_hot=False, forbidden=FORBIDDEN,
+    one_hot=False, ordinal=True, indicator=True, forbidden=FORBIDDEN,
 )
 MULTI_OUTPUT = m.Preprocessing(
     numeric=["trip_distance", "trip_duration_min", "passenger_count", "pickup_hour", "pickup_weekday"],
@@ -62,8 +67,13 @@ MULTI_OUTPUT = m.Preprocessing(
 )
 
 
-def final_run(raw: DataFrame, trees: int = 100, check_rows: bool = False) -> dict[str, DataFrame | PipelineModel]:
-    """Split, deduplicated training side, boosted model, baseline, bands and record."""
+def final_run(
+    raw: DataFrame, trees: int = 100, check_rows: bool = False, path: str | None = None
+) -> dict[str, DataFrame | PipelineModel]:
+    """Split, deduplicated training side, boosted model, baseline, bands and record.
+
+    With a ``path`` the model is saved there, loaded again, and both predict the test trips.
+    """
     train_raw, test_raw = taxi.common_split(raw, check_rows)
     train = taxi.model_features(dedup_keep_first(train_raw, taxi.ROW_ID), [taxi.ROW_ID, taxi.TOTAL])
     test = taxi.model_features(test_raw, [taxi.ROW_ID, taxi.TOTAL])
@@ -78,7 +88,10 @@ def final_run(raw: DataFrame, trees: int = 100, check_rows: bool = False) -> dic
         metrics, bands, "final_boosting_v1", "final", taxi.TOTAL, train.count(),
         metrics.first()["row_count"], taxi.SPLIT_ID, True,
     )
-    return {"model": model, "metrics": metrics, "baseline": baseline, "bands": bands, "record": record}
+    result = {"model": model, "metrics": metrics, "baseline": baseline, "bands": bands, "record": record}
+    if path is not None:
+        result["reload"] = _fixed(m.model_roundtrip(model, test, [taxi.ROW_ID], path))
+    return result
 
 
 def _fixed(result: DataFrame) -> DataFrame:
@@ -120,26 +133,31 @@ def _route_ridge(target: str):
     return fit
 
 
-def route_experiments(raw: DataFrame, sample: int = 500_000) -> DataFrame:
-    """Median, base, log, route one-hot and route statistics on one temporal sample."""
+def _temporal_sides(raw: DataFrame, sample: int | None) -> tuple[DataFrame, DataFrame]:
+    """All audited trips before and after the cut, or a sample of each side."""
     trips, _, _ = taxi.audited_trips(raw)
-    split = sp.temporal_split_sample(trips, taxi.PICKUP, taxi.HOLDOUT, sample, [taxi.ROW_ID])
-    train, test = sp.sides(split)
+    if sample is None:
+        return sp.sides(sp.temporal_holdout(trips, taxi.PICKUP, taxi.HOLDOUT))
+    return sp.sides(sp.temporal_split_sample(trips, taxi.PICKUP, taxi.HOLDOUT, sample, [taxi.ROW_ID]))
+
+
+def route_experiments(raw: DataFrame, sample: int | None = None) -> DataFrame:
+    """A constant, and ridge regressions that know more and more about the route."""
+    train, test = _temporal_sides(raw, sample)
     target = taxi.TOTAL
     return m.compare_models(train, test, target, {
-        "dummy_median": lambda rows: m.ConstantModel(median_value(rows, target)),
-        "ridge_raw_base": lambda rows: m.fit_ridge(rows, ROUTE_BASE, target),
-        "ridge_log_base": lambda rows: m.fit_ridge(rows, ROUTE_BASE, target, log_target=True),
-        # A full one-hot set already spans the intercept.
-        "ridge_raw_route_match": lambda rows: m.fit_ridge(rows, ROUTE_MATCH, target, fit_intercept=False),
-        "ridge_raw_route_statistics": _route_ridge(target),
+        "median": lambda rows: m.ConstantModel(median_value(rows, target)),
+        "zones": lambda rows: m.fit_ridge(rows, ROUTE_BASE, target),
+        "zones_log_target": lambda rows: m.fit_ridge(rows, ROUTE_BASE, target, log_target=True),
+        # The zone columns of a trip always sum to one, which is what an intercept would add.
+        "zones_and_route": lambda rows: m.fit_ridge(rows, ROUTE_MATCH, target, fit_intercept=False),
+        "zones_and_route_means": _route_ridge(target),
     })
 
 
-def route_part_benchmark(raw: DataFrame, sample: int = 500_000) -> DataFrame:
+def route_part_benchmark(raw: DataFrame, sample: int | None = None) -> DataFrame:
     """Route statistics for each part of the total."""
-    trips, _, _ = taxi.audited_trips(raw)
-    train, test = sp.sides(sp.temporal_split_sample(trips, taxi.PICKUP, taxi.HOLDOUT, sample, [taxi.ROW_ID]))
+    train, test = _temporal_sides(raw, sample)
     return m.per_target_benchmark(train, test, taxi.PARTS, lambda rows, target: _route_ridge(target)(rows))
 
 
@@ -155,15 +173,18 @@ def multi_output_cv(raw: DataFrame, folds: int = 5, **forest) -> DataFrame:
     """k-fold scores of one forest per part and of their sum."""
     trips, targets = taxi.multi_output_trips(raw)
     return m.cross_validate(
-        trips, [taxi.ROW_ID], targets, lambda rows: m.fit_forest_multi(rows, MULTI_OUTPUT, targets, **forest), folds
+        trips, [taxi.ROW_ID], targets, lambda rows: m.fit_forest_multi(rows, MULTI_OUTPUT, targets, **{**MULTI_OUTPUT_FOREST, **forest}), folds
     )
 
 
-def multi_output_run(raw: DataFrame, max_train_rows: int = 200_000, **forest) -> DataFrame:
-    """Forests for the parts on complete training trips; their sum scored on every test trip."""
+def multi_output_run(raw: DataFrame, max_train_rows: int | None = None, **forest) -> DataFrame:
+    """Forests for the parts on complete training trips; their sum scored on every test trip.
+
+    ``max_train_rows`` is for trial runs: it fits on that many trips, chosen by hash.
+    """
     train_raw, test_raw = taxi.common_split(raw)
     train = taxi.training_trips(train_raw)
-    if max_train_rows > 0:
+    if max_train_rows is not None:
         train = sp.fixed_sample(train, max_train_rows, [taxi.ROW_ID])
     prep = m.Preprocessing(
         numeric=["passenger_count", "trip_distance", "pickup_hour", "pickup_weekday", "is_weekend", "trip_duration_minutes"],
@@ -172,6 +193,6 @@ def multi_output_run(raw: DataFrame, max_train_rows: int = 200_000, **forest) ->
     )
     fit_rows = time_features(train, taxi.PICKUP)
     test = time_features(test_raw.withColumn("trip_duration_minutes", taxi.minutes()), taxi.PICKUP)
-    model = m.fit_forest_multi(fit_rows, prep, taxi.PARTS, **forest)
+    model = m.fit_forest_multi(fit_rows, prep, taxi.PARTS, **{**PART_FOREST, **forest})
     with m.kept(m.sum_of_targets(model.transform(test), taxi.PARTS).select(taxi.TOTAL, "total_prediction")) as scored:
         return _fixed(ev.regression_metrics(scored, taxi.TOTAL, "total_prediction"))

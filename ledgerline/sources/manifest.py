@@ -31,7 +31,7 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def file_manifest(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """path, bytes, sha256 of every file; files are spread over the tasks."""
     listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
         .select("path", F.col("length").alias("bytes"))
         # A fixed number of tasks: sized by these short rows, they would be merged into one.
         .repartition(4 * spark.sparkContext.defaultParallelism, "path")
@@ -40,13 +40,11 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.parquet") -> Da
 
 
 def manifest_check(spark: SparkSession, path: str, expected: DataFrame, glob: str = "*.parquet") -> DataFrame:
-    """Expected (file, bytes, sha256) beside what is there; ``matches`` per file."""
+    """Expected (path, bytes, sha256) beside what is there; ``matches`` per file."""
     actual = file_manifest(spark, path, glob).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("bytes").alias("actual_bytes"),
-        F.col("sha256").alias("actual_sha256"),
+        "path", F.col("bytes").alias("actual_bytes"), F.col("sha256").alias("actual_sha256"),
     )
-    return expected.join(actual, "file", "full").withColumn(
+    return expected.join(actual, "path", "full").withColumn(
         "matches",
         F.col("bytes").eqNullSafe(F.col("actual_bytes")) & F.col("sha256").eqNullSafe(F.col("actual_sha256")),
     )
@@ -54,6 +52,6 @@ def manifest_check(spark: SparkSession, path: str, expected: DataFrame, glob: st
 
 def verify_files(spark: SparkSession, path: str, expected: DataFrame, glob: str = "*.parquet") -> None:
     """Raise with the files whose size or hash differs."""
-    bad = [r["file"] for r in manifest_check(spark, path, expected, glob).where(~F.col("matches")).collect()]
+    bad = [r["path"] for r in manifest_check(spark, path, expected, glob).where(~F.col("matches")).collect()]
     if bad:
         raise ValueError(f"files differ from the manifest: {sorted(bad)}")

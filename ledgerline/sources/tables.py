@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.sizing import lookup_join, measured
 from ledgerline.operators.quality import require_columns
 
 
@@ -22,12 +23,18 @@ def scan_pruned(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
 
 
 def scan_with_row_id(spark: SparkSession, path: str, row_id: str = "source_row_id") -> DataFrame:
-    """Position in its file as the first column.
+    """Position in the table as the first column: the rows of the files before, in the order
+    of their paths, and the position in the file. Unique over all files.
 
-    For a table of many files the file path is part of the identity: use
-    ``scan_with_file_row_id`` there.
+    The files' row counts come from their footers; the sums are one row per file.
     """
-    return spark.read.parquet(path).select(F.col("_metadata.row_index").alias(row_id), "*")
+    rows = spark.read.parquet(path)
+    files = rows.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_file")) - F.col("_rows")
+    offsets = measured(files.select("_file", before.alias("_before")))
+    placed = rows.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"), "*")
+    joined = lookup_join(placed, offsets, ["_file"])
+    return joined.select((F.col("_before") + F.col("_index")).alias(row_id), *rows.columns)
 
 
 def scan_with_file_row_id(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators.splits import random_split_exact
 from ledgerline.session import scratch_path, shared_folder
 from ledgerline.sources import manifest, sinks, tables
 
@@ -26,21 +27,27 @@ def test_row_ids_are_file_positions(spark, tmp_path):
     assert one.columns[0] == "source_row_id" and one.where("source_row_id = id").count() == 50
 
 
+def test_row_ids_are_unique_over_files_and_split_exactly(spark, tmp_path):
+    spark.range(101).repartition(2).write.parquet(str(tmp_path / "two"))
+    rows = tables.scan_with_row_id(spark, str(tmp_path / "two"))
+    assert sorted(r["source_row_id"] for r in rows.collect()) == list(range(101))
+    split = random_split_exact(rows, ["source_row_id"])
+    assert split.where("split = 'test'").count() == 21 and split.count() == 101
+
+
 def test_manifest(spark, folder):
     pinned = manifest.file_manifest(spark, folder)
     rows = {Path(r["path"]).name: r for r in pinned.collect()}
     data = Path(folder, "nation.parquet").read_bytes()
     assert rows["nation.parquet"]["bytes"] == len(data)
     assert rows["nation.parquet"]["sha256"] == hashlib.sha256(data).hexdigest()
-    expected = spark.createDataFrame(
-        [(name, r["bytes"], r["sha256"]) for name, r in rows.items()], "file string, bytes long, sha256 string"
-    )
+    expected = spark.createDataFrame([tuple(r) for r in rows.values()], pinned.schema)
     manifest.verify_files(spark, folder, expected)
     with pytest.raises(ValueError, match="orders.parquet"):
         manifest.verify_files(spark, folder, expected.withColumn(
-            "sha256", F.when(F.col("file") == "orders.parquet", "0").otherwise(F.col("sha256"))))
+            "sha256", F.when(F.col("path").endswith("orders.parquet"), "0").otherwise(F.col("sha256"))))
     with pytest.raises(ValueError, match="nation.parquet"):
-        manifest.verify_files(spark, folder, expected.where("file <> 'nation.parquet'"))
+        manifest.verify_files(spark, folder, expected.where("path NOT LIKE '%nation.parquet'"))
 
 
 def test_sinks_round_trip(spark, folder):

@@ -130,7 +130,7 @@ def test_linear_and_route_runs(raw):
     # Distances of 5000 miles stay on the test side, clipped to 100.
     assert out["metrics"].first()["median_ae"] < 3 and out["bands"].count() >= 2
     table = {r["experiment"]: r for r in taxi_models.route_experiments(raw, 5000).collect()}
-    assert len(table) == 5 and table["ridge_raw_base"]["mae"] > 0
+    assert len(table) == 5 and table["zones"]["mae"] > 0
 
 
 def test_per_part_bundles(raw, tmp_path):
