@@ -144,7 +144,10 @@ def pack(spark: SparkSession, counts: dict[int, int], limit: int, islands: int =
             return rows(island, evolve([load(g) for g in genomes], limit, rng, generations, stop_at))
         return run
 
-    population = stored(spark.range(islands).groupBy("id").applyInPandas(settle, SCHEMA), "island-population")
+    # A fixed number of partitions: sized by these few rows, islands would share one task.
+    tasks = 4 * islands
+    founded = spark.range(islands).repartition(tasks, "id").groupBy("id").applyInPandas(settle, SCHEMA)
+    population = stored(founded, "island-population")
     best = population.orderBy("bins", "waste", "genome").first()
     for number in range(rounds):
         if best["bins"] <= stop_at:
@@ -152,7 +155,7 @@ def pack(spark: SparkSession, counts: dict[int, int], limit: int, islands: int =
         elites = population.groupBy("island").agg(F.min(F.struct("bins", "waste", "genome")).alias("e")).select(
             ((F.col("island") + 1) % islands).cast("int").alias("island"), "e.bins", "e.waste", "e.genome"
         )
-        moved = population.unionByName(elites).groupBy("island").applyInPandas(next_round(number), SCHEMA)
+        moved = population.unionByName(elites).repartition(tasks, "island").groupBy("island").applyInPandas(next_round(number), SCHEMA)
         population = stored(moved, "island-population")
         best = population.orderBy("bins", "waste", "genome").first()
     return load(best["genome"])
