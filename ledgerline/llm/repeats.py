@@ -39,8 +39,8 @@ from ledgerline.llm.common import join_few, stored
 LEAST = 100
 GRAM = 32
 BLOCK = 1 << 21  # bytes that are hashed at a time
-GROUP = 10_000  # stretches of a gram that share an index
-CHUNK = 10_000  # stretches that a task indexes at a time
+GROUP = 4096  # stretches of a gram that share an index
+CHUNK = 8192  # stretches that a task indexes at a time
 BATCH = 1 << 16  # suffixes of a batch of the index
 
 _ODD = 0x9E3779B97F4A7C15
