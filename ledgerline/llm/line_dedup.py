@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACES, join_lists, keyed, stored, words_of
+from ledgerline.llm.common import SPACES, join_few, join_lists, keyed, stored, words_of
 
 SHINGLE_WORDS = 5
 P, Q = 4, 5  # similarity P/Q
@@ -43,11 +43,10 @@ def _lines(base: DataFrame) -> DataFrame:
 
 def _with_tokens(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """Adds the hashes of a line's shingles, with repetitions."""
-    picked = ", ".join(f"_wh[i + {j}]" for j in range(words))
-    hashes = f"""CASE WHEN size(_wh) < {words} THEN array(xxhash64(_wh))
-        ELSE transform(sequence(0, size(_wh) - {words}), i -> xxhash64({picked})) END"""
-    hashed = lines.withColumn("_wh", F.transform(words_of("string"), lambda w: F.xxhash64(w)))
-    return hashed.withColumn("tokens", F.expr(hashes)).drop("_wh")
+    picked = ", ".join(f"_w[i + {j}]" for j in range(words))
+    hashes = f"""CASE WHEN size(_w) < {words} THEN array(xxhash64(_w))
+        ELSE transform(sequence(0, size(_w) - {words}), i -> xxhash64({picked})) END"""
+    return lines.withColumn("_w", words_of("string")).withColumn("tokens", F.expr(hashes)).drop("_w")
 
 
 def _class_ranks(lines: DataFrame) -> Column:
@@ -114,12 +113,14 @@ def kept_lines(base: DataFrame) -> DataFrame:
     ).select("_key", "line", F.expr("_all[line]").alias("string"))
     rows = _prefix_rows(opened, _class_ranks(lines))
     groups = Window.partitionBy("token")
-    shared = stored(rows.withColumn("_m", F.count("*").over(groups)).where("_m > 1").drop("_m"), "shared-tokens")
-
     in_order = groups.orderBy("_key", "line")
     me = F.struct("_key", "line", "n", "place")
-    stars = shared.withColumn("_first", F.first(me).over(in_order)).withColumn("_last", F.lag(me).over(in_order))
-    near = stars.select(
+    shared = stored(
+        rows.withColumn("_first", F.first(me).over(in_order)).withColumn("_last", F.lag(me).over(in_order))
+        .withColumn("_m", F.count("*").over(groups)).where("_m > 1"),
+        "shared-tokens",
+    )
+    near = shared.select(
         F.col("_key").alias("y_key"), F.col("line").alias("y_line"), F.col("n").alias("yn"), F.col("place").alias("yplace"),
         F.explode_outer(F.array("_first", "_last")).alias("x"),
     ).select("y_key", "y_line", "yn", "yplace", F.col("x._key").alias("x_key"), F.col("x.line").alias("x_line"),
@@ -128,7 +129,9 @@ def kept_lines(base: DataFrame) -> DataFrame:
     pairs = near.where(earlier & _may_match("x", "y")).select("x_key", "x_line", "y_key", "y_line").distinct()
     resolved = stored(_verified(pairs, base).select(F.col("y_key").alias("_key"), F.col("y_line").alias("line")).distinct(), "resolved-lines")
 
-    open_rows = shared.join(resolved, ["_key", "line"], "left_anti")
+    shared = shared.where("_m > 3")  # in groups of up to three these were all pairs
+    flagged = join_few(shared, resolved.withColumn("_done", F.lit(True)), ["_key", "line"], row_bytes=24, salts=1)
+    open_rows = flagged.where("_done IS NULL")
     y = open_rows.select("token", F.col("_key").alias("y_key"), F.col("line").alias("y_line"), F.col("n").alias("yn"), F.col("place").alias("yplace"))
     x = shared.select("token", F.col("_key").alias("x_key"), F.col("line").alias("x_line"), F.col("n").alias("xn"), F.col("place").alias("xplace"))
     rest = y.join(x, (y["token"] == x["token"]) & earlier & _may_match("x", "y"))
@@ -148,9 +151,10 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     """The table with the remaining text of each row, in the same columns."""
     rows, base = _base(docs)
     lists = stored(kept_lines(base), "kept-lines")
-    joined = join_lists(rows, lists, "_key", "kept").withColumn("_all", F.split("text", "\n"))
+    lists = lists.withColumnRenamed("kept", "_kept")
+    joined = join_lists(rows, lists, "_key", "_kept").withColumn("_all", F.split("text", "\n"))
     blank = F.expr(f"filter(sequence(0, size(_all) - 1), i -> length(btrim(_all[i], '{SPACES}')) = 0)")
-    places = F.array_sort(F.array_union(blank, F.coalesce("kept", F.expr("CAST(array() AS array<int>)"))))
+    places = F.array_sort(F.array_union(blank, F.coalesce("_kept", F.expr("CAST(array() AS array<int>)"))))
     left = F.expr("array_join(transform(_places, i -> _all[i]), '\\n')")
     made = joined.withColumn("_places", places).withColumn("text", F.when(F.col("text").isNotNull(), left))
     if "n_chars" in docs.columns:

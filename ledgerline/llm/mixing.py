@@ -136,4 +136,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sampled(docs: DataFrame) -> DataFrame:
     """The drawn rows, in the same columns."""
-    return mix(with_tokens_and_topic(docs)).where("sampled").select(*docs.columns)
+    rows = docs.select("doc_id", "source", "lang", "text", F.struct(*docs.columns).alias("_original"))
+    return mix(with_tokens_and_topic(rows)).where("sampled").select("_original.*")

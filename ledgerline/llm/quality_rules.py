@@ -125,6 +125,17 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", max_rate: f
     return _judged(document_counts(docs, text), host, max_rate)
 
 
+def passing(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The kept rows, in the same columns.
+
+    The filter reads a row number, so it stays above the counts: pushed below them it would
+    repeat their expressions inside one another.
+    """
+    rows = docs.select(F.col(text).alias("_text"), F.col(host).alias("_host"), F.struct(*docs.columns).alias("_original"))
+    judged = judge(rows, "_text", "_host", max_rate).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where("kept AND _row >= 0").select("_original.*")
+
+
 def _judged(counts: DataFrame, host: str, max_rate: float) -> DataFrame:
     bad = stored(
         host_verdicts(counts, host, max_rate).where("host_rejected").select(host, F.lit(True).alias("_bad")),
