@@ -14,6 +14,7 @@ HOT_ROWS = 5_000_000  # so that even 10^12 rows have few hot keys
 HOT_KEY_BYTES, HOT_LIST_BYTES = 256, 32 << 20
 FIT_PARTITIONS = 8
 FIT_PARTITION_BYTES = 128 << 20
+UNKNOWN_BYTES = 1 << 60
 
 
 def measured(table: DataFrame) -> DataFrame:
@@ -39,7 +40,10 @@ def spread(df: DataFrame) -> DataFrame:
     Learners draw samples partition by partition in row order, so the rows are also sorted
     by the hash: the same table gives the same model on any cluster.
     """
-    parts = FIT_PARTITIONS + scanned_bytes(df) // FIT_PARTITION_BYTES
+    size = scanned_bytes(df)
+    if size >= UNKNOWN_BYTES:  # rows that come from no file
+        size = df.count() * 16 * len(df.columns)
+    parts = FIT_PARTITIONS + size // FIT_PARTITION_BYTES
     place = F.xxhash64(*[F.col(c) for c in df.columns])
     dealt = df.withColumn("_place", place).repartition(parts, "_place")
     return dealt.sortWithinPartitions("_place").drop("_place")
