@@ -368,10 +368,10 @@ def fit_two_stage_target(train: DataFrame, preprocessing: Preprocessing, target:
 
 
 def fit_fixed_amount_target(train: DataFrame, preprocessing: Preprocessing, target: str,
-                            trees: int = 200, max_bins: int = 320, boosted: bool = True) -> Bundle:
+                            trees: int = 200, max_bins: int = 320, boosted: bool = False) -> Bundle:
     """Classes are the distinct training amounts; the predicted class maps back to its amount.
 
-    ``boosted`` fits one boosted classifier per amount, else one forest for all.
+    One forest serves all amounts; ``boosted`` fits a boosted classifier for each instead.
     """
     known = train.where(F.col(target).isNotNull()).withColumn("_amount_text", F.col(target).cast("string"))
     labels = StringIndexer(inputCol="_amount_text", outputCol="_label", stringOrderType="alphabetAsc").fit(known)

@@ -253,7 +253,7 @@ def two_stage_target(spark, folder):
 
 @query("fixed_amount_target", _bundle_sql("classification", "l_discount"))
 def fixed_amount_target(spark, folder):
-    return _bundle_holds(spark, folder, "classification", "l_discount", boosted=False)
+    return _bundle_holds(spark, folder, "classification", "l_discount")
 
 
 @query("predict_bundle", f"""
@@ -266,7 +266,7 @@ def predict_bundle(spark, folder):
     bundles = {
         "tax": m.fit_continuous_target(train, TREES, "tax", trees=20),
         "l_discount": m.fit_two_stage_target(train, GIVEN, "l_discount", trees=20),
-        "l_tax": m.fit_fixed_amount_target(train, GIVEN, "l_tax", trees=20, boosted=False),
+        "l_tax": m.fit_fixed_amount_target(train, GIVEN, "l_tax", trees=20),
     }
     names = [f"{t}_prediction" for t in bundles]
     known = [r[0] for r in train.select("l_tax").distinct().collect()]
