@@ -3,8 +3,10 @@
 Documents are counted into cells of (source, language, topic). Iterative proportional fitting
 scales the cells' token weights to the targets of one dimension after the other until all of
 them hold. A document's probability is its cell's ratio of raked to given weight, divided by
-the largest ratio: then no probability is over one, none is cut, and the expected tokens of
-the sample have the target shares.
+the ratio that ``met`` = 95 % of the tokens do not exceed. Cells above it would need
+documents more than once and are taken whole: a rare category that is wanted much more often
+than it occurs then does not thin out all others. With ``met`` = 1 the expected tokens of the
+sample have the target shares exactly.
 
 The cells are Spark tables; each sweep's result is stored. Sampling compares a hash of the
 document with its probability, so a repeated task draws the same documents.
@@ -31,6 +33,7 @@ TOPIC_WORD_CHARS = 7
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.5}
 TOLERANCE = 1e-6
 MAX_SWEEPS = 40
+MET = 0.95
 CELL_BYTES = 160
 SEED = 11
 
@@ -98,11 +101,11 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     return raked
 
 
-def probabilities(raked: DataFrame, dimensions=DIMENSIONS) -> DataFrame:
+def probabilities(raked: DataFrame, dimensions=DIMENSIONS, met: float = MET) -> DataFrame:
     """(categories, weight, probability) of the raked cells."""
     ratio = F.col("weight") / F.col("tokens")
-    largest = raked.agg(F.max(ratio)).first()[0] or 1.0
-    return stored(raked.select(*dimensions, "weight", (ratio / largest).alias("probability")), "probabilities")
+    full = raked.agg(F.percentile(ratio, F.lit(met), F.col("tokens"))).first()[0] or 1.0
+    return stored(raked.select(*dimensions, "weight", F.least(ratio / full, F.lit(1.0)).alias("probability")), "probabilities")
 
 
 def draw(seed: int = SEED) -> Column:
@@ -111,7 +114,7 @@ def draw(seed: int = SEED) -> Column:
     return place / float(1 << 53)
 
 
-def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, dimensions=DIMENSIONS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, dimensions=DIMENSIONS, seed: int = SEED, met: float = MET) -> DataFrame:
     """The table with ``weight`` of its cell, ``probability`` and ``sampled``.
 
     ``docs`` has ``tokens`` and the dimensions' columns. Without ``targets`` the given
@@ -119,7 +122,7 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = Non
     """
     cells = cells_of(docs, dimensions)
     shares = {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, TEMPER.get(d, 1.0)) for d in dimensions}
-    rates = probabilities(rake(cells, shares), dimensions).select(
+    rates = probabilities(rake(cells, shares), dimensions, met).select(
         *[F.col(d).alias(f"_{d}") for d in dimensions], F.col("weight"), F.col("probability"))
     plain = docs.drop("weight", "probability", "sampled").withColumns({f"_{d}": _category(d) for d in dimensions})
     joined = join_few(plain, rates, [f"_{d}" for d in dimensions], row_bytes=CELL_BYTES).drop(*[f"_{d}" for d in dimensions])
