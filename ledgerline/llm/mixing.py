@@ -2,11 +2,14 @@
 
 Documents are counted into cells of (source, language, topic). Iterative proportional fitting
 scales the cells' token weights to the targets of one dimension after the other until all of
-them hold. A document's probability is its cell's ratio of raked to given weight, divided by
-the ratio that ``met`` = 95 % of the tokens do not exceed. Cells above it would need
-documents more than once and are taken whole: a rare category that is wanted much more often
-than it occurs then does not thin out all others. With ``met`` = 1 the expected tokens of the
-sample have the target shares exactly.
+them hold. The sample has as many tokens as it can have if cells with 1 - ``met`` = 5 % of the
+tokens may be wanted more often than they occur. A document's probability is its cell's ratio
+of wanted to given tokens. Cells wanted beyond what they hold are taken whole and the others
+raked again, so the targets still hold in the expected tokens of the sample. Where a category
+as a whole has fewer tokens than its target takes, the target is infeasible: all of it is
+taken, and the other categories of the dimension share the rest in proportion to their
+targets. ``achieved`` reports per category target and expected share, which are infeasible,
+and the last deviation. With ``met`` = 1 no cell is taken beyond what it holds at once.
 
 The cells are Spark tables; each sweep's result is stored. Sampling compares a hash of the
 document with its probability, so a repeated task draws the same documents.
@@ -101,11 +104,82 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     return raked
 
 
+def _goals(raked: DataFrame, dimension: str, size: float) -> DataFrame:
+    """(category, goal_, infeasible_): tokens per category, all it holds where its target takes more.
+
+    The others get equal multiples of their targets, so that the goals sum to ``size``.
+    """
+    held = stored(raked.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("_held"), F.first(f"target_{dimension}").alias("_target")), "held")
+    level, taken = 0.0, -1
+    while True:
+        whole = F.col("_held") < F.col("_target") * F.lit(level)
+        row = held.agg(F.count_if(whole), F.sum(F.when(whole, F.col("_held")).otherwise(0.0)), F.sum(F.when(whole, 0.0).otherwise(F.col("_target")))).first()
+        if row[0] == taken or not row[2]:
+            break
+        taken, level = row[0], (size - row[1]) / row[2]
+    wanted = F.col("_target") * F.lit(level)
+    return held.select(dimension, F.least("_held", wanted).alias(f"goal_{dimension}"), (F.col("_held") < wanted * (1 - 1e-9)).alias(f"infeasible_{dimension}"))
+
+
+def bounded(raked: DataFrame, dimensions=DIMENSIONS, met: float = MET, tolerance: float = TOLERANCE, max_sweeps: int = MAX_SWEEPS) -> DataFrame:
+    """The raked cells with ``wanted`` <= ``tokens``, the expected tokens of the sample.
+
+    A cell's wanted tokens are its weight times one factor per category, at most what it
+    holds; each sweep moves the factors to their categories' goals. ``off`` is the largest
+    relative distance from a goal that the last sweep met.
+    """
+    ratio = F.col("weight") / F.col("tokens")
+    full, held = raked.agg(F.percentile(ratio, F.lit(met), F.col("tokens")), F.sum("tokens")).first()
+    if not full:
+        return raked.withColumns({"wanted": F.lit(0.0), "off": F.lit(0.0), **{f"infeasible_{d}": F.lit(False) for d in dimensions}})
+    size = min(1.0 / full, float(held))
+    cells = raked.withColumn("_asked", F.col("weight") * F.lit(size))
+    for d in dimensions:
+        cells = cells.join(_goals(raked, d, size), d)
+    cells = stored(cells, "bounded")
+    wanted, free = F.least("_asked", F.col("tokens").cast("double")), F.col("_asked") < F.col("tokens")
+    for _ in range(max_sweeps):
+        step = cells.withColumn("off", F.lit(0.0))
+        for d in dimensions:
+            sums = step.groupBy(d).agg(F.sum(wanted).alias("_sum"), F.sum(F.when(free, F.col("_asked")).otherwise(0.0)).alias("_free"))
+            goal, total = F.col(f"goal_{d}"), F.col("_sum")
+            # Too much: all factors fall. Too little: only cells that are not whole can give more.
+            by = F.when(total > goal, goal / total).when(F.col("_free") > 0, 1 + (goal - total) / F.col("_free")).otherwise(1.0)
+            step = step.join(sums, d).withColumn("off", F.greatest("off", F.abs(total / goal - 1))).withColumn(
+                "_asked", F.col("_asked") * by).drop("_sum", "_free")
+        cells = stored(step, "bounded")
+        off = cells.agg(F.max("off")).first()[0] or 0.0
+        if off < tolerance:
+            break
+        cells = cells.drop("off")
+    return cells.withColumns({"wanted": wanted, "off": F.lit(off)}).drop("_asked")
+
+
 def probabilities(raked: DataFrame, dimensions=DIMENSIONS, met: float = MET) -> DataFrame:
     """(categories, weight, probability) of the raked cells."""
-    ratio = F.col("weight") / F.col("tokens")
-    full = raked.agg(F.percentile(ratio, F.lit(met), F.col("tokens"))).first()[0] or 1.0
-    return stored(raked.select(*dimensions, "weight", F.least(ratio / full, F.lit(1.0)).alias("probability")), "probabilities")
+    cells = bounded(raked, dimensions, met)
+    return stored(cells.select(*dimensions, "weight", (F.col("wanted") / F.col("tokens")).alias("probability")), "probabilities")
+
+
+def _shares(cells: DataFrame, targets, dimensions) -> dict[str, DataFrame]:
+    return {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, TEMPER.get(d, 1.0)) for d in dimensions}
+
+
+def achieved(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, dimensions=DIMENSIONS, met: float = MET) -> DataFrame:
+    """(dimension, category, target, expected, infeasible, off): shares of the sample's expected tokens."""
+    cells = cells_of(docs, dimensions)
+    fit = stored(bounded(rake(cells, _shares(cells, targets, dimensions)), dimensions, met), "achieved")
+    total = fit.agg(F.sum("wanted")).first()[0] or 1.0
+    parts = [
+        fit.groupBy(F.lit(d).alias("dimension"), F.col(d).alias("category")).agg(
+            F.first(f"target_{d}").alias("target"), (F.sum("wanted") / F.lit(total)).alias("expected"),
+            F.first(f"infeasible_{d}").alias("infeasible"), F.max("off").alias("off"))
+        for d in dimensions
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def draw(seed: int = SEED) -> Column:
@@ -121,8 +195,7 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = Non
     shares are flattened by the powers in TEMPER.
     """
     cells = cells_of(docs, dimensions)
-    shares = {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, TEMPER.get(d, 1.0)) for d in dimensions}
-    rates = probabilities(rake(cells, shares), dimensions, met).select(
+    rates = probabilities(rake(cells, _shares(cells, targets, dimensions)), dimensions, met).select(
         *[F.col(d).alias(f"_{d}") for d in dimensions], F.col("weight"), F.col("probability"))
     plain = docs.drop("weight", "probability", "sampled").withColumns({f"_{d}": _category(d) for d in dimensions})
     joined = join_few(plain, rates, [f"_{d}" for d in dimensions], row_bytes=CELL_BYTES).drop(*[f"_{d}" for d in dimensions])

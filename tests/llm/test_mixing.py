@@ -69,3 +69,30 @@ def test_odd_rows(spark):
     assert len(mixing.report(docs).collect()) == 5
     assert mixing.sampled(docs).columns == docs.columns
     assert mixing.report(docs.limit(0)).collect() == [] and mixing.sampled(docs.limit(0)).collect() == []
+
+
+def test_default_setting_meets_its_targets(spark):
+    """The rare source and the rare topic are wanted far above their share; targets hold or are named infeasible."""
+    rows = [(i, "w " * 20, "b" if i % 25 == 0 else "a", "r" if i % 40 == 7 else "xy"[i % 2]) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, topic string").withColumn("lang", F.lit("en")).withColumn("tokens", F.lit(20))
+    targets = {"source": {"a": 0.95, "b": 0.05}, "topic": {"x": 0.5, "y": 0.43, "r": 0.07}, "lang": {"en": 1.0}}
+    rows = mixing.mix(docs, targets).select("source", "topic", "tokens", "probability").collect()
+    sizes = {}
+    for r in rows:
+        for d in ("source", "topic"):
+            sizes[d, r[d]] = sizes.get((d, r[d]), 0) + r["tokens"] * r["probability"]
+    total = sum(r["tokens"] * r["probability"] for r in rows)
+    found = {(r["dimension"], r["category"]): r for r in mixing.achieved(docs, targets).collect()}
+    held = {k: sum(r["tokens"] for r in rows if r[k[0]] == k[1]) for k in sizes}
+    assert all(0 <= r["probability"] <= 1 for r in rows)
+    assert all(f["off"] < 1e-4 for f in found.values())
+    for d in ("source", "topic"):
+        free = {c: t for c, t in targets[d].items() if not found[d, c]["infeasible"]}
+        left = total - sum(sizes[d, c] for c in targets[d] if c not in free)
+        for c, share in targets[d].items():
+            assert found[d, c]["expected"] == pytest.approx(sizes[d, c] / total, rel=1e-6)
+            if c in free:
+                assert sizes[d, c] == pytest.approx(left * share / sum(free.values()), rel=1e-3)
+            else:
+                assert sizes[d, c] == pytest.approx(held[d, c], rel=1e-3) and held[d, c] < share * total
+    assert {k for k, f in found.items() if f["infeasible"]} == {("topic", "r"), ("source", "b")}
