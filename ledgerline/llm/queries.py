@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    genetic, language, line_dedup, mixing, packing, quality_model, quality_rules, repeats, simhash, sketches,
+    genetic, hard_negatives, hilbert, language, line_dedup, mixing, packing, prefix_trie, quality_model, quality_rules, repeats,
+    simhash, sketches,
 )
 from ledgerline.llm.common import documents
 
@@ -83,3 +84,21 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of every document that nearly repeat an earlier line."""
     return line_dedup.report(documents(spark, folder))
+
+
+@query("op11_prefix_trie")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.report(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+@query("op12_hard_negatives", hard_negatives.SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The best rows of other labels in a window below each positive's score."""
+    return hard_negatives.report(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op13_hilbert_shards")
+def op13_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document along the curve through its metadata."""
+    return hilbert.report(documents(spark, folder))
