@@ -30,8 +30,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.regression import (
     GBTRegressor,
-    LinearRegression,
-    LinearRegressionModel,
     RandomForestRegressor,
 )
 from pyspark.sql import DataFrame, SparkSession
@@ -55,17 +53,14 @@ from ledgerline.operators.evaluation import (
     part_sum_mae,
     regression_metrics,
 )
+from ledgerline.operators.gram import gram_table
 from ledgerline.operators.quality import leakage_guard
+from ledgerline.operators.sparse_squares import sparse_least_squares
 from ledgerline.operators.splits import kfold_assign
 from ledgerline.session import use_checkpoints
 
 FEATURES = "features"
 PREDICTION = "prediction"
-VANISHING = 1e-10
-# MLlib's own limit for the normal equations. Beyond it the same minimum is found by steps,
-# which must end by their tolerance.
-NORMAL_SOLVER_FEATURES = 4096
-MAX_ITERATIONS, ITERATION_TOLERANCE = 2000, 1e-12
 
 
 # Preprocessing -------------------------------------------------------------------------
@@ -177,7 +172,6 @@ def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: s
         vectors = prepared.transform(rows)
         estimator = learner if isinstance(learner, Estimator) else learner(vectors)
         fitted = enough_bins(estimator, vectors).fit(vectors)
-        require_converged(fitted)
     return PipelineModel([*prepared.stages, fitted, preprocessing.tidy(), *after])
 
 
@@ -192,13 +186,6 @@ def enough_bins(estimator: Estimator, vectors: DataFrame) -> Estimator:
     return estimator
 
 
-def require_converged(model) -> None:
-    """An iterative least-squares fit must have ended by its tolerance, not by its step limit."""
-    if isinstance(model, LinearRegressionModel) and model.hasSummary:
-        if model.getSolver() == "l-bfgs" and model.summary.totalIterations >= model.getMaxIter():
-            raise RuntimeError("least squares did not converge; raise maxIter")
-
-
 # Learners ------------------------------------------------------------------------------
 
 
@@ -220,11 +207,10 @@ def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str,
                prediction: str = PREDICTION) -> PipelineModel:
     """Ordinary least squares.
 
-    Full one-hot groups beside an intercept are linearly dependent, so this is the limit of
-    a vanishing penalty, which is the least-squares solution of smallest norm.
+    Full one-hot groups beside an intercept are linearly dependent; this is the least-squares
+    solution of smallest norm.
     """
-    dependent = bool(preprocessing.categorical) and preprocessing.one_hot
-    return fit_ridge(train, preprocessing, target, alpha=None if dependent else 0.0, prediction=prediction)
+    return fit_ridge(train, preprocessing, target, alpha=None, prediction=prediction)
 
 
 def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha: float | None = 10.0,
@@ -232,30 +218,17 @@ def fit_ridge(train: DataFrame, preprocessing: Preprocessing, target: str, alpha
               prediction: str = PREDICTION) -> PipelineModel:
     """Least squares with ``alpha * |w|^2`` added to the sum of squares.
 
-    MLlib minimises half the mean square of the label divided by its deviation, so its
-    parameter is alpha / n times that deviation: the population one for the normal
-    equations, the sample one for L-BFGS.
+    One scan makes the table of sums the weights are solved from. Categories that do not fit
+    into it are solved for by conjugate gradients over sparse rows.
     """
-    label, output = (f"_log_{target}", "_log_prediction") if log_target else (target, prediction)
+    if preprocessing.categorical and (preprocessing.ordinal or not preprocessing.one_hot):
+        raise ValueError("least squares takes one slot per category")
+    label = f"_log_{target}" if log_target else target
     frame = train.withColumn(label, F.log1p(F.col(target))) if log_target else train
-
-    def learner(rows: DataFrame) -> LinearRegression:
-        size = rows.schema[FEATURES].metadata["ml_attr"]["num_attrs"]
-        normal = size <= NORMAL_SOLVER_FEATURES
-        spread = F.stddev_pop(label) if normal else F.stddev_samp(label)
-        n, deviation = rows.agg(F.count(label), spread).first()
-        penalty = VANISHING if alpha is None else alpha / n
-        return LinearRegression(
-            featuresCol=FEATURES, labelCol=label, predictionCol=output, elasticNetParam=0.0,
-            regParam=penalty * (deviation or 1.0), standardization=False,
-            fitIntercept=fit_intercept, solver="normal" if normal else "l-bfgs",
-            maxIter=MAX_ITERATIONS, tol=ITERATION_TOLERANCE,
-        )
-
-    after = [SQLTransformer(
-        statement=f"SELECT * EXCEPT (_log_prediction), expm1(_log_prediction) AS `{prediction}` FROM __THIS__"
-    )]
-    return fit_model(frame, preprocessing, learner, label, after if log_target else ())
+    gram = gram_table(frame, preprocessing, [label])
+    if gram is not None:
+        return PipelineModel([gram.solve(preprocessing, label, alpha, fit_intercept, None, prediction, log_target)])
+    return PipelineModel([sparse_least_squares(frame, preprocessing, label, alpha, fit_intercept, prediction, log_target)])
 
 
 def gradient_boosting(target: str, trees: int = 100, step: float = 0.05, depth: int = 5,

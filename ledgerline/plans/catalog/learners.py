@@ -20,6 +20,7 @@ from ledgerline.functions.quantiles import median_value
 from ledgerline.operators import evaluation as ev
 from ledgerline.operators import models as m
 from ledgerline.operators.encoders import TargetEncoder
+from ledgerline.operators.gram import cross_validate_ridge
 from ledgerline.operators.results import best_by_metric
 from ledgerline.operators.splits import random_split_hash
 from ledgerline.plans.bindings import TRIP_HASH_SQL, TRIP_IDS, TRIP_SQL, trip
@@ -317,13 +318,10 @@ SELECT target, count(*) AS folds, CAST(sum(n) AS BIGINT) AS row_count, avg(r2) A
        avg(mae) AS mae_mean, avg(rmse) AS rmse_mean FROM per_fold GROUP BY target
 """, rounded="r2_mean r2_std mae_mean rmse_mean", digits=4)
 def cross_validate_linear(spark, folder):
+    """Least squares for every fold and target from one table of sums."""
     one = m.Preprocessing(numeric=["l_extendedprice"])
-
-    def fit(rows):
-        return PipelineModel([m.fit_linear(rows, one, t, prediction=f"{t}_prediction") for t in ("net", "tax")])
-
     rows = trip(spark, folder).select(*TRIP_IDS, "l_extendedprice", "net", "tax")
-    return m.cross_validate(rows, TRIP_IDS, ["net", "tax"], fit, folds=5)
+    return cross_validate_ridge(rows, TRIP_IDS, ["net", "tax"], one, alpha=None, folds=5)
 
 
 @query("cross_validate", f"""
