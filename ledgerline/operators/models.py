@@ -57,6 +57,7 @@ from ledgerline.operators.gram import gram_table
 from ledgerline.operators.quality import leakage_guard
 from ledgerline.operators.sparse_squares import sparse_least_squares
 from ledgerline.operators.splits import kfold_assign
+from ledgerline.operators.trees import fit_vector_forest
 from ledgerline.session import use_checkpoints
 
 FEATURES = "features"
@@ -277,17 +278,14 @@ def random_forest(target: str, trees: int = 80, depth: int = 15, min_leaf: int =
 
 def fit_forest_multi(train: DataFrame, preprocessing: Preprocessing, targets: Sequence[str],
                      trees: int = 80, depth: int = 15, min_leaf: int = 50,
-                     max_bins: int = 320) -> PipelineModel:
-    """One forest per target on the same persisted vectors; columns ``<target>_prediction``."""
+                     max_bins: int = 256, seed: int = 42, draw: bool = True) -> PipelineModel:
+    """One forest whose trees split for all targets at once; columns ``<target>_prediction``."""
     use_checkpoints(train.sparkSession)
-    forests = []
     with kept(spread(train.select(*dict.fromkeys([*preprocessing.columns(), *targets])))) as rows:
         prepared = assemble(rows, preprocessing)
         vectors = prepared.transform(rows)
-        for target in targets:
-            learner = random_forest(target, trees, depth, min_leaf, max_bins, prediction=f"{target}_prediction")
-            forests.append(enough_bins(learner, vectors).fit(vectors.where(F.col(target).isNotNull())))
-    return PipelineModel([*prepared.stages, *forests, preprocessing.tidy()])
+        forest = fit_vector_forest(vectors, FEATURES, targets, trees, depth, min_leaf, max_bins, seed, draw)
+    return PipelineModel([*prepared.stages, forest, preprocessing.tidy()])
 
 
 def sum_of_targets(predicted: DataFrame, targets: Sequence[str], total: str = "total_prediction") -> DataFrame:
