@@ -17,7 +17,6 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -35,6 +34,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.concurrent import together
 from ledgerline.functions.expressions import row_sum
 from ledgerline.functions.quantiles import column_quantiles, median_value
 from ledgerline.functions.sizing import spread
@@ -56,6 +56,7 @@ from ledgerline.operators.evaluation import (
 from ledgerline.operators.gram import gram_table
 from ledgerline.operators.quality import leakage_guard
 from ledgerline.operators.sparse_squares import sparse_least_squares
+from ledgerline.operators.softmax import fit_softmax
 from ledgerline.operators.splits import kfold_assign
 from ledgerline.operators.trees import fit_vector_forest
 from ledgerline.session import use_checkpoints
@@ -160,30 +161,25 @@ def kept(df: DataFrame):
         cached.unpersist()
 
 
-def fit_model(train: DataFrame, preprocessing: Preprocessing, learner, target: str,
+def fit_model(train: DataFrame, preprocessing: Preprocessing, learner: Estimator, target: str,
               after: Sequence[Transformer] = (), weight: str | None = None) -> PipelineModel:
-    """Preprocessing and learner fitted on the same kept rows, as one saveable model.
-
-    ``learner`` is an estimator, or a function that makes one from the prepared rows.
-    """
+    """Preprocessing and learner fitted on the same kept rows, as one saveable model."""
     use_checkpoints(train.sparkSession)
     needed = dict.fromkeys([*preprocessing.columns(), target, *([weight] if weight else [])])
     with kept(spread(train.where(F.col(target).isNotNull()).select(*needed))) as rows:
         prepared = assemble(rows, preprocessing)
-        vectors = prepared.transform(rows)
-        estimator = learner if isinstance(learner, Estimator) else learner(vectors)
-        fitted = enough_bins(estimator, vectors).fit(vectors)
+        with kept(prepared.transform(rows).select(FEATURES, target, *([weight] if weight else []))) as vectors:
+            fitted = enough_bins(learner, vectors).fit(vectors)
     return PipelineModel([*prepared.stages, fitted, preprocessing.tidy(), *after])
 
 
 def enough_bins(estimator: Estimator, vectors: DataFrame) -> Estimator:
     """The tree learner with bins for every value of its widest code column."""
-    tree = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
-    if not tree.hasParam("maxBins"):
+    if not estimator.hasParam("maxBins"):
         return estimator
     nominal = vectors.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
     widest = max((len(a["vals"]) if "vals" in a else a.get("num_vals", 0) for a in nominal), default=0)
-    tree.set(tree.getParam("maxBins"), max(tree.getOrDefault("maxBins"), widest))
+    estimator.set(estimator.getParam("maxBins"), max(estimator.getOrDefault("maxBins"), widest))
     return estimator
 
 
@@ -242,20 +238,23 @@ def gradient_boosting(target: str, trees: int = 100, step: float = 0.05, depth:
 
 def boosted_classifier(target: str, trees: int = 200, step: float = 0.1, depth: int = 5,
                        max_bins: int = 320, seed: int = 42) -> GBTClassifier:
-    """Binary only; see ``boosted_multiclass`` and ``forest_classifier`` for several classes."""
+    """Binary only; see ``fit_softmax_trees`` for several classes."""
     return GBTClassifier(
         featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION, maxIter=trees, stepSize=step,
         maxDepth=depth, maxBins=max_bins, seed=seed, checkpointInterval=10,
     )
 
 
-def boosted_multiclass(target: str, trees: int = 200, step: float = 0.1, depth: int = 5,
-                       max_bins: int = 320, seed: int = 42, prediction: str = PREDICTION) -> OneVsRest:
-    """One boosted classifier per class against the others; the surest one decides."""
-    return OneVsRest(
-        classifier=boosted_classifier(target, trees, step, depth, max_bins, seed).setPredictionCol(prediction),
-        featuresCol=FEATURES, labelCol=target, predictionCol=prediction,
-    )
+def fit_softmax_trees(train: DataFrame, preprocessing: Preprocessing, target: str, rounds: int = 200, step: float = 0.1,
+                      depth: int = 5, min_leaf: int = 20, max_bins: int = 255, prediction: str = PREDICTION,
+                      after: Sequence[Transformer] = ()) -> PipelineModel:
+    """One boosted model for all classes, numbers from 0; see ``softmax``."""
+    use_checkpoints(train.sparkSession)
+    with kept(spread(train.where(F.col(target).isNotNull()).select(*dict.fromkeys([*preprocessing.columns(), target])))) as rows:
+        prepared = assemble(rows, preprocessing)
+        vectors = prepared.transform(rows)
+        fitted = fit_softmax(vectors, FEATURES, target, rounds, step, depth, min_leaf, max_bins, prediction=prediction)
+    return PipelineModel([*prepared.stages, fitted, preprocessing.tidy(), *after])
 
 
 def forest_classifier(target: str, trees: int = 50, depth: int = 8, max_bins: int = 320,
@@ -332,24 +331,21 @@ def fit_two_stage_target(train: DataFrame, preprocessing: Preprocessing, target:
     """Whether there is an amount, then how much on the rows that have one."""
     known = train.where(F.col(target).isNotNull())
     charged = known.withColumn("_charged", (F.col(target) > 0).cast("double"))
-    classifier = fit_model(charged, preprocessing, boosted_classifier("_charged", trees, max_bins=max_bins), "_charged")
     positive = known.where(F.col(target) > 0)
-    regressor = fit_model(positive, preprocessing, gradient_boosting(target, trees, 0.1, max_bins=max_bins), target)
+    classifier, regressor = together(train.sparkSession, [
+        lambda: fit_model(charged, preprocessing, boosted_classifier("_charged", trees, max_bins=max_bins), "_charged"),
+        lambda: fit_model(positive, preprocessing, gradient_boosting(target, trees, 0.1, max_bins=max_bins), target),
+    ])
     return Bundle("two_stage", {"classifier": classifier, "regressor": regressor})
 
 
 def fit_fixed_amount_target(train: DataFrame, preprocessing: Preprocessing, target: str,
-                            trees: int = 200, max_bins: int = 320, boosted: bool = False) -> Bundle:
-    """Classes are the distinct training amounts; the predicted class maps back to its amount.
-
-    One forest serves all amounts; ``boosted`` fits a boosted classifier for each instead.
-    """
+                            trees: int = 200, max_bins: int = 255) -> Bundle:
+    """Classes are the distinct training amounts; the predicted class maps back to its amount."""
     known = train.where(F.col(target).isNotNull()).withColumn("_amount_text", F.col(target).cast("string"))
     labels = StringIndexer(inputCol="_amount_text", outputCol="_label", stringOrderType="alphabetAsc").fit(known)
-    indexed = labels.transform(known)
     back = IndexToString(inputCol=PREDICTION, outputCol="_label_text", labels=labels.labels)
-    learner = (boosted_multiclass if boosted else forest_classifier)("_label", trees, max_bins=max_bins)
-    model = fit_model(indexed, preprocessing, learner, "_label", [back])
+    model = fit_softmax_trees(labels.transform(known), preprocessing, "_label", trees, max_bins=max_bins, after=[back])
     return Bundle("classification", {"classifier": model})
 
 
@@ -464,16 +460,18 @@ def cross_validate(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
                    fit: Callable[[DataFrame], Transformer], folds: int = 5, total: str = "total") -> DataFrame:
     """Per target over k folds: mean and population deviation of R2, mean MAE and RMSE.
 
-    Preprocessing and model are refitted on each fold's training rows. ``total`` compares
-    the summed predictions with the summed targets.
+    Preprocessing and model are refitted on each fold's training rows, a few folds at a time.
+    ``total`` compares the summed predictions with the summed targets.
     """
-    rows = []
     with kept(spread(kfold_assign(df, ids, folds).withColumn(total, row_sum(targets)))) as folded:
-        for k in range(folds):
+
+        def scores(k: int) -> list[tuple]:
             model = fit(folded.where(F.col("fold") != k).drop("fold"))
-            predicted = model.transform(folded.where(F.col("fold") == k))
-            scores = multi_target_eval(predicted, {t: f"{t}_prediction" for t in targets}, total)
-            rows += [(k, *r) for r in scores.collect()]  # one row per target and fold
+            with kept(model.transform(folded.where(F.col("fold") == k))) as predicted:
+                table = multi_target_eval(predicted, {t: f"{t}_prediction" for t in targets}, total)
+                return [(k, *r) for r in table.collect()]  # one row per target and fold
+
+        rows = [r for part in together(df.sparkSession, [lambda k=k: scores(k) for k in range(folds)]) for r in part]
     per_fold = df.sparkSession.createDataFrame(
         rows, "fold int, target string, row_count long, mae double, rmse double, r2 double"
     )
@@ -575,6 +573,7 @@ def train_or_reuse(train: DataFrame, kinds: Mapping[str, str], preprocessing: Pr
     features = preprocessing.columns()
     if _exists(spark, f"{path}/manifest"):
         return load_bundles(spark, path, list(kinds), features), "loaded"
-    bundles = {t: FITTERS[kind](train, preprocessing, t, **options) for t, kind in kinds.items()}
+    fits = [lambda t=t, kind=kind: FITTERS[kind](train, preprocessing, t, **options) for t, kind in kinds.items()]
+    bundles = dict(zip(kinds, together(spark, fits)))
     save_bundles(spark, bundles, features, path)
     return load_bundles(spark, path, list(kinds), features), "trained"

@@ -25,6 +25,7 @@ from ledgerline.operators.results import best_by_metric
 from ledgerline.operators.splits import random_split_hash
 from ledgerline.plans.bindings import TRIP_HASH_SQL, TRIP_IDS, TRIP_SQL, trip
 from ledgerline.plans.registry import query
+from ledgerline.plans.taxi_models import MULTI_OUTPUT_FOREST, PART_FOREST
 from ledgerline.session import scratch_path
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -175,7 +176,7 @@ def _with_band(rows):
 def majority_multiclass(spark, folder):
     """One boosting step per band on one code column: the most frequent band of each code."""
     train, test = [_with_band(s) for s in sides(spark, folder)]
-    model = m.fit_model(train, ONE_CODE, m.boosted_multiclass("band", trees=1, step=1.0), "band")
+    model = m.fit_softmax_trees(train, ONE_CODE, "band", rounds=1, step=1.0, min_leaf=1)
     return model.transform(test).select(*TRIP_IDS, m.PREDICTION)
 
 
@@ -200,7 +201,7 @@ def boosted_classifier(spark, folder):
 @query("multiclass_classifier", f"WITH {_SPLIT_SQL} {_BETTER}")
 def multiclass_classifier(spark, folder):
     train, test = [_with_band(s) for s in sides(spark, folder)]
-    return _classified(train, test, m.fit_model(train, TREES, m.forest_classifier("band"), "band"), "band")
+    return _classified(train, test, m.fit_softmax_trees(train, TREES, "band"), "band")
 
 
 def _total_holds(train, test, predicted, pairs, total):
@@ -225,14 +226,44 @@ FROM (VALUES ('net'), ('tax'), ('total')) t(target)"""
 @query("random_forest_multi", _PARTS_SQL)
 def random_forest_multi(spark, folder):
     train, test = sides(spark, folder)
-    model = m.fit_forest_multi(train, TREES, ["net", "tax"], trees=80, depth=15)
+    model = m.fit_forest_multi(train, TREES, ["net", "tax"], **PART_FOREST)
     return _total_holds(train, test, model.transform(test), {"net": "net_prediction", "tax": "tax_prediction"}, "total")
 
 
-def _bundle_holds(spark, folder, kind, target, **options):
+@query("one_tree_forest", f"""
+WITH {_SPLIT_SQL}, means AS (SELECT o_orderpriority, avg(net) AS net_prediction, avg(tax) AS tax_prediction FROM train GROUP BY o_orderpriority)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, net_prediction, tax_prediction FROM test JOIN means USING (o_orderpriority)
+""", rounded="net_prediction tax_prediction", digits=4)
+def one_tree_forest(spark, folder):
+    """A single tree on one code column, without drawing: the training means of both targets per code."""
+    train, test = sides(spark, folder)
+    model = m.fit_forest_multi(train, ONE_CODE, ["net", "tax"], trees=1, depth=5, min_leaf=1, draw=False)
+    return model.transform(test).select(*TRIP_IDS, "net_prediction", "tax_prediction")
+
+
+@query("one_round_softmax", f"""
+WITH {_SPLIT_SQL}, banded AS (SELECT o_orderpriority AS code, {_BAND_SQL} AS band FROM train),
+shares AS (SELECT k, count(*) FILTER (WHERE band = k) * 1.0 / count(*) AS share FROM banded, range(3) r(k) GROUP BY k),
+leaves AS (SELECT code, k, ln(share) + (count(*) FILTER (WHERE band = k) - share * count(*)) / (1.5 * count(*) * share * (1 - share)) AS score
+           FROM banded, shares GROUP BY code, k, share),
+chances AS (SELECT code, k, exp(score) / sum(exp(score)) OVER (PARTITION BY code) AS p FROM leaves)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, max(p) FILTER (WHERE k = 0) AS low, max(p) FILTER (WHERE k = 1) AS middle,
+       max(p) FILTER (WHERE k = 2) AS high FROM test JOIN chances ON code = o_orderpriority GROUP BY ALL
+""", rounded="low middle high", digits=6)
+def one_round_softmax(spark, folder):
+    """One round of full step on one code column: each band's log share plus the Newton step of the code."""
+    train, test = [_with_band(s) for s in sides(spark, folder)]
+    model = m.fit_softmax_trees(train, ONE_CODE, "band", rounds=1, step=1.0, min_leaf=1)
+    *stages, trees, _ = model.stages
+    vectors = PipelineModel(stages).transform(test)
+    p = trees.probability(vectors)
+    return vectors.withColumn("p", p).select(*TRIP_IDS, *[F.col("p")[i].alias(c) for i, c in enumerate(("low", "middle", "high"))])
+
+
+def _bundle_holds(spark, folder, kind, target, preparation=GIVEN, **options):
     """Rows, and whether the error is below that of the training median or mode."""
     train, test = sides(spark, folder)
-    bundle = m.FITTERS[kind](train, GIVEN, target, **options)
+    bundle = m.FITTERS[kind](train, preparation, target, **options)
     scores = m.evaluate_bundles(train, test, {target: bundle})
     better = F.col("accuracy") > F.col("baseline_accuracy") if kind == "classification" else F.col("mae") < F.col("baseline_mae")
     return scores.select("target", "kind", "row_count", better.alias("beats_constant"))
@@ -242,9 +273,10 @@ def _bundle_sql(kind: str, target: str) -> str:
     return f"WITH {_SPLIT_SQL} SELECT '{target}' AS target, '{kind}' AS kind, count(*) AS row_count, true AS beats_constant FROM test"
 
 
-@query("continuous_target", _bundle_sql("regression", "l_tax"))
+@query("continuous_target", _bundle_sql("regression", "net"))
 def continuous_target(spark, folder):
-    return _bundle_holds(spark, folder, "regression", "l_tax")
+    """The price after discount, from price and discount."""
+    return _bundle_holds(spark, folder, "regression", "net", TREES)
 
 
 @query("two_stage_target", _bundle_sql("two_stage", "l_discount"))
@@ -333,7 +365,7 @@ def cross_validate(spark, folder):
     rows = trip(spark, folder).select(*TRIP_IDS, *NUMERIC, *CODES, "net", "tax")
     scores = m.cross_validate(
         rows, TRIP_IDS, ["net", "tax"],
-        lambda part: m.fit_forest_multi(part, TREES, ["net", "tax"], trees=20, depth=10), folds=5,
+        lambda part: m.fit_forest_multi(part, TREES, ["net", "tax"], **MULTI_OUTPUT_FOREST), folds=5,
     )
     return scores.select("target", F.col("folds").cast("int").alias("folds"), "row_count", (F.col("r2_mean") > 0).alias("beats_constant"))
 
