@@ -464,6 +464,7 @@ def cross_validate(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
     ``total`` compares the summed predictions with the summed targets.
     """
     with kept(spread(kfold_assign(df, ids, folds).withColumn(total, row_sum(targets)))) as folded:
+        folded.count()  # kept before the folds start, so that they share it and know its size
 
         def scores(k: int) -> list[tuple]:
             model = fit(folded.where(F.col("fold") != k).drop("fold"))

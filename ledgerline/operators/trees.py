@@ -133,65 +133,88 @@ def landed(bins: np.ndarray, arrays: tuple) -> np.ndarray:
     return node
 
 
-def best_cuts(bins: np.ndarray, y: np.ndarray, weights: np.ndarray, node: np.ndarray, count: int, min_leaf: float):
-    """Per node the gain, feature and bin of its best split, over rows sorted by (node, bin)."""
-    best = np.zeros(count)
-    feature, cut = np.zeros(count, np.int64), np.zeros(count, np.int64)
-    weighted = y * weights[:, None]
-    sizes = np.bincount(node, weights, count)
-    sums = np.stack([np.bincount(node, column, count) for column in weighted.T], axis=1)
+def best_cuts(bins: np.ndarray, weighted: np.ndarray, weights: np.ndarray, node: np.ndarray, orders: Sequence[np.ndarray],
+              sizes: np.ndarray, sums: np.ndarray, min_leaf: float):
+    """Per node the gain, feature and bin of its best split, over rows sorted by (node, bin).
+
+    ``orders`` has the rows by bin for each feature; a stable sort by node keeps that order.
+    """
+    count = len(sizes)
+    best, feature, cut = np.zeros(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
     whole = (sums ** 2).sum(axis=1) / np.maximum(sizes, 1e-300)
-    for f in range(bins.shape[1]):
-        place = node << 16 | bins[:, f]
-        order = np.argsort(place, kind="stable")
-        ordered = place[order]
-        ends = np.flatnonzero(ordered[1:] != ordered[:-1])
-        ends = ends[ordered[ends] >> 16 == ordered[ends + 1] >> 16]
+    narrow = node.astype(np.uint16) if count < 1 << 16 else node  # 16-bit keys are sorted by radix
+    starts = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=count))])
+    for f, by_bin in enumerate(orders):
+        order = by_bin[np.argsort(narrow[by_bin], kind="stable")]
+        own, at = bins[order, f], node[order]
+        ends = np.flatnonzero((own[1:] != own[:-1]) & (at[1:] == at[:-1]))
         if not len(ends):
             continue
-        at = ordered[ends] >> 16
-        first = np.searchsorted(ordered, at << 16)
-        above = np.vstack([np.zeros((1, y.shape[1] + 1)), np.cumsum(np.column_stack([weights[order], weighted[order]]), axis=0)])
-        sides = above[ends + 1] - above[first]
-        n_left, left = sides[:, 0], sides[:, 1:]
-        n_right, right = sizes[at] - n_left, sums[at] - left
+        above = np.cumsum(weights[order])
+        n_above = above[ends]
+        at = at[ends]
+        first = starts[at]
+        base = np.where(first > 0, above[first - 1], 0.0)
+        n_left = n_above - base
+        n_right = sizes[at] - n_left
         fits = (n_left >= min_leaf) & (n_right >= min_leaf)
-        gain = np.full(len(ends), -np.inf)
-        gain[fits] = (left[fits] ** 2).sum(axis=1) / n_left[fits] + (right[fits] ** 2).sum(axis=1) / n_right[fits] - whole[at[fits]]
-        top = np.full(count, -np.inf)
-        np.maximum.at(top, at, gain)
-        leading = np.flatnonzero(gain == top[at])
+        ends, at, first, n_left, n_right = ends[fits], at[fits], first[fits], n_left[fits], n_right[fits]
+        if not len(ends):
+            continue
+        gain = -whole[at]
+        for column, totals in zip(weighted.T, sums.T):
+            above = np.cumsum(column[order])
+            left = above[ends] - np.where(first > 0, above[first - 1], 0.0)
+            gain += left * left / n_left + (totals[at] - left) ** 2 / n_right
+        edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        top = np.maximum.reduceat(gain, edge)
+        leading = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(edge, len(at)))))
         winners = leading[np.unique(at[leading], return_index=True)[1]]
         better = winners[gain[winners] > best[at[winners]] * (1 + 1e-9)]
-        best[at[better]], feature[at[better]], cut[at[better]] = gain[better], f, ordered[ends[better]] & 0xFFFF
-    return best, feature, cut, sizes, sums
+        best[at[better]], feature[at[better]], cut[at[better]] = gain[better], f, own[ends[better]]
+    return best, feature, cut
 
 
 def grown(bins: np.ndarray, y: np.ndarray, weights: np.ndarray, depth: int, min_leaf: float, least: float) -> Tree:
     """A whole subtree over rows in memory, level by level."""
     kept = weights > 0
-    bins, y, weights = bins[kept], y[kept], weights[kept]
+    bins, weights = bins[kept], weights[kept]
+    weighted = y[kept] * weights[:, None]
     tree = Tree()
-    tree.add((y * weights[:, None]).sum(axis=0) / max(weights.sum(), 1e-300))
-    level, node, rows = [0], np.zeros(len(bins), np.int64), np.arange(len(bins))
+    tree.add(weighted.sum(axis=0) / max(weights.sum(), 1e-300))
+    min_leaf = max(min_leaf, 1e-9)
+    level, node = [0], np.zeros(len(bins), np.int64)
+    orders = [np.argsort(column, kind="stable") for column in bins.T]
+
+    def narrowed(stay: np.ndarray) -> None:
+        """Goes on with some of the rows."""
+        nonlocal bins, weighted, weights, node, orders
+        place = np.cumsum(stay) - 1
+        orders = [place[o[stay[o]]] for o in orders]
+        bins, weighted, weights, node = bins[stay], weighted[stay], weights[stay], node[stay]
+
     for _ in range(depth):
-        if not len(rows):
+        sizes = np.bincount(node, weights, len(level))
+        large = sizes >= 2 * min_leaf
+        if not large[node].all():
+            narrowed(large[node])
+        if not len(node):
             break
-        gain, feature, cut, sizes, sums = best_cuts(bins[rows], y[rows], weights[rows], node[rows], len(level), max(min_leaf, 1e-9))
+        sums = np.stack([np.bincount(node, c, len(level)) for c in weighted.T], axis=1)
+        gain, feature, cut = best_cuts(bins, weighted, weights, node, orders, sizes, sums, min_leaf)
+        goes_left = bins[np.arange(len(node)), feature[node]] <= cut[node]
+        n_left = np.bincount(node[goes_left], weights[goes_left], len(level))
+        left = np.stack([np.bincount(node[goes_left], c[goes_left], len(level)) for c in weighted.T], axis=1)
         follow, places = [], np.full((len(level), 2), -1)
-        goes_left = bins[rows, feature[node[rows]]] <= cut[node[rows]]
-        n_left = np.bincount(node[rows][goes_left], weights[rows][goes_left], len(level))
-        left = np.stack([np.bincount(node[rows][goes_left], c[goes_left], len(level)) for c in (y[rows] * weights[rows, None]).T], axis=1)
-        for i in np.flatnonzero(gain > least):
+        for i in np.flatnonzero(large & (gain > least)):
             own = level[i]
             tree.feature[own], tree.cut[own] = int(feature[i]), int(cut[i])
             tree.left[own] = tree.add(left[i] / n_left[i])
             tree.right[own] = tree.add((sums[i] - left[i]) / (sizes[i] - n_left[i]))
             places[i] = len(follow), len(follow) + 1
             follow += [tree.left[own], tree.right[own]]
-        next_node = places[node[rows], np.where(goes_left, 0, 1)]
-        node[rows] = next_node
-        rows = rows[next_node >= 0]
+        node = places[node, np.where(goes_left, 0, 1)]
+        narrowed(node >= 0)
         level = follow
     return tree
 
