@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.prefix import running_total
+
 from ledgerline.functions.expressions import is_finite, row_sum, value_band
 from ledgerline.functions.quantiles import median_value, quantile_table
 
@@ -178,3 +180,42 @@ def part_sum_mae(df: DataFrame, parts: Sequence[str], total: str) -> DataFrame:
     """Mean |total - sum of true parts| on rows where all are known."""
     gap = F.abs(F.col(total) - row_sum(parts, nulls="all"))
     return df.agg(F.count(gap).alias("row_count"), F.avg(gap).alias("component_sum_mae"))
+
+
+def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Per distinct score: positives, negatives, and how many of each score the same or less."""
+    counts = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) != 1).alias("negatives")
+    )
+    for amount in ("positives", "negatives"):
+        counts = running_total(counts, ["score"], amount, f"{amount}_upto")
+    return counts
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """row_count, positives, negatives and the exact area: the share of pairs of a positive and a
+    negative that the score orders rightly, ties half. Null without both classes.
+
+    Counts per distinct score and running totals over them; no bins.
+    """
+    below = F.col("negatives_upto") - F.col("negatives")
+    right = F.sum(F.col("positives").cast("decimal(19,0)") * (2 * below + F.col("negatives")).cast("decimal(19,0)")).cast("double") / 2
+    totals = score_counts(df, label, score).agg(
+        F.coalesce(F.sum("positives"), F.lit(0)).alias("positives"), F.coalesce(F.sum("negatives"), F.lit(0)).alias("negatives"), right.alias("right")
+    )
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    return totals.select(
+        (F.col("positives") + F.col("negatives")).alias("row_count"), "positives", "negatives",
+        (F.col("right") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"),
+    )
+
+
+def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """score, true_positive_rate, false_positive_rate when rows with that score or more are called positive."""
+    counts = score_counts(df, label, score)
+    totals = counts.agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    above = {k: F.col(t) - F.col(f"{k}_upto") + F.col(k) for k, t in (("positives", "p"), ("negatives", "n"))}
+    return counts.join(F.broadcast(totals)).select(
+        "score", (above["positives"] / F.nullif("p", F.lit(0))).alias("true_positive_rate"),
+        (above["negatives"] / F.nullif("n", F.lit(0))).alias("false_positive_rate"),
+    )

@@ -19,7 +19,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
@@ -27,6 +26,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
     RandomForestRegressor,
@@ -52,6 +52,7 @@ from ledgerline.operators.evaluation import (
     multi_target_eval,
     part_sum_mae,
     regression_metrics,
+    roc_auc,
 )
 from ledgerline.operators.gram import gram_table
 from ledgerline.operators.quality import leakage_guard
@@ -499,7 +500,7 @@ def high_value_classifier(train: DataFrame, test: DataFrame, preprocessing: Prep
                                  **({"weightCol": "weight"} if balanced else {}))
     model = fit_model(weighted, preprocessing, learner, label, weight="weight" if balanced else None)
     with kept(model.transform(test.withColumn(label, F.col(label).cast("double")))) as scored:
-        auc = BinaryClassificationEvaluator(labelCol=label).evaluate(scored)
+        auc = roc_auc(scored.select(label, vector_to_array("probability")[1].alias("score")), label, "score").first()["roc_auc"]
         hit = F.count_if((F.col(label) == 1) & (F.col(PREDICTION) == 1))
         row = scored.agg(
             F.count("*").alias("row_count"),

@@ -111,6 +111,63 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+
+def key_edges(df: DataFrame, key: str, ranges: int = 256) -> list:
+    """Ends of key ranges with about equal numbers of rows, from a mergeable sketch of a numeric key."""
+    shares = [i / ranges for i in range(1, ranges)]
+    found = df.agg(F.percentile_approx(key, shares, 10_000)).first()[0]
+    return sorted(set(found or []))
+
+
+def range_digests(df: DataFrame, key: str, edges: Sequence) -> DataFrame:
+    """range, row_count and two order-free sums of row hashes per key range; null keys are range -1.
+
+    A multiset of rows has one digest, whatever the order and the files. The columns must have
+    the same names, order and types on both sides.
+    """
+    columns = [F.col(c) for c in df.columns]
+    place = F.when(F.col(key).isNull(), -1).otherwise(F.array_size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(key))) if edges else F.lit(0))
+    sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")).alias(f"digest_{seed}") for seed in (1, 2)]
+    return df.groupBy(place.alias("range")).agg(F.count("*").alias("row_count"), *sums)
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, key: str, edges: Sequence) -> list[int]:
+    """Key ranges whose digests differ: a row per range comes to the driver."""
+    a, b = range_digests(left, key, edges), range_digests(right, key, edges)
+    same = (F.col("a.row_count").eqNullSafe(F.col("b.row_count")) & F.col("a.digest_1").eqNullSafe(F.col("b.digest_1"))
+            & F.col("a.digest_2").eqNullSafe(F.col("b.digest_2")))
+    joined = a.alias("a").join(b.alias("b"), F.col("a.range") == F.col("b.range"), "full").where(~same)
+    return sorted(r["range"] for r in joined.select(F.coalesce("a.range", "b.range").alias("range")).collect())
+
+
+def in_ranges(key: str, edges: Sequence, places: Sequence[int]) -> Column:
+    """Condition on the key alone, neighbours joined, that a scan can use to skip files and row groups."""
+    runs: list[list[int]] = []
+    for place in sorted(places):
+        if runs and place == runs[-1][1] + 1 and place > 0:
+            runs[-1][1] = place
+        else:
+            runs.append([place, place])
+    condition = F.lit(False)
+    for first, last in runs:
+        if first < 0:
+            condition = condition | F.col(key).isNull()
+            continue
+        inside = F.col(key).isNotNull()
+        if first > 0:
+            inside = inside & (F.col(key) > F.lit(edges[first - 1]))
+        if last < len(edges):
+            inside = inside & (F.col(key) <= F.lit(edges[last]))
+        condition = condition | inside
+    return condition
+
+
+def reconcile_ranges(left: DataFrame, right: DataFrame, key: str, ranges: int = 256) -> DataFrame:
+    """``row_differences`` that reads again, and shuffles, only the key ranges whose digests differ."""
+    edges = key_edges(left, key, ranges)
+    wanted = in_ranges(key, edges, differing_ranges(left, right, key, edges))
+    return row_differences(left.where(wanted), right.where(wanted))
+
 def missing_rate(df: DataFrame, columns: Sequence[str] | None = None, keep_zero: bool = False) -> DataFrame:
     """column, missing_rate (percent), highest first; complete columns are left out."""
     columns = list(columns or df.columns)

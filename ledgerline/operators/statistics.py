@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +34,68 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """col_a, col_b, r for all ordered pairs; each pair uses the rows where both are known."""
-    pairs = list(combinations(columns, 2))
-    aggregates = [F.corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)]
-    # A constant column has no correlation with itself.
-    aggregates += [
-        F.when(F.var_pop(c) > 0, F.lit(1.0)).alias(f"_d{i}") for i, c in enumerate(columns)
-    ]
-    entries = [_cell(c, c, f"_d{i}") for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        entries += [_cell(a, b, f"_r{i}"), _cell(b, a, f"_r{i}")]
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    names = list(columns)
+    whole = co_moments(df, names)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, raw in zip(batch["place"], batch["moments"]):
+                n, _, _, xx, yy, xy = np.frombuffer(raw, np.float64).reshape(6, -1)
+                scale = np.sqrt(xx) * np.sqrt(yy)
+                r = [float(c / s) if s > 0 and k > 1 else None for c, s, k in zip(xy, scale, n)]
+                r[a] = 1.0 if xx[a] > 0 else None  # a constant column has no correlation with itself
+                yield pd.DataFrame({"col_a": names[a], "col_b": names, "r": pd.array(r, "Float64")})
+
+    return whole.mapInPandas(rows, "col_a string, col_b string, r double")
 
 
-def _cell(a: str, b: str, source: str) -> Column:
-    return F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(source).alias("r"))
+def co_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(place, moments): per column its pairwise counts, means and sums of squared deviations with
+    every column, as six rows of doubles, over the rows where both are known.
+
+    A task multiplies blocks of values and of known marks, about the block's means, and keeps
+    one table; the tables of a column merge by the rule for two groups' moments.
+    """
+    width = len(columns)
+    numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    schema = "place int, moments binary"
+
+    def block(x: np.ndarray) -> np.ndarray:
+        known = ~np.isnan(x)
+        marks = known.astype(np.float64)
+        seen = marks.sum(axis=0)
+        shift = np.divide(np.where(known, x, 0).sum(axis=0), seen, out=np.zeros(width), where=seen > 0)
+        z = np.where(known, x - shift, 0.0)
+        n = marks.T @ marks
+        safe = np.maximum(n, 1)
+        sx, sy = z.T @ marks, marks.T @ z
+        xx, yy = (z * z).T @ marks - sx * sx / safe, marks.T @ (z * z) - sy * sy / safe
+        return np.stack([n, sx / safe + shift[:, None], sy / safe + shift[None, :], np.maximum(xx, 0), np.maximum(yy, 0), z.T @ z - sx * sy / safe])
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            own = block(batch.to_numpy(np.float64))
+            total = own if total is None else merged_moments(total, own)
+        if total is not None:
+            yield pd.DataFrame({"place": range(width), "moments": [total[:, i].tobytes() for i in range(width)]})
+
+    def merge(part: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for raw in part["moments"]:
+            own = np.frombuffer(raw, np.float64).reshape(6, width)
+            total = own if total is None else merged_moments(total, own)
+        return pd.DataFrame({"place": [part["place"].iloc[0]], "moments": [total.tobytes()]})
+
+    return numbers.mapInPandas(task, schema).groupBy("place").applyInPandas(merge, schema)
+
+
+def merged_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Counts, means and co-moments of two groups together, for each pair of columns."""
+    n = a[0] + b[0]
+    safe = np.maximum(n, 1)
+    dx, dy, share = b[1] - a[1], b[2] - a[2], a[0] * b[0] / safe
+    return np.stack([n, a[1] + dx * b[0] / safe, a[2] + dy * b[0] / safe, a[3] + b[3] + dx * dx * share, a[4] + b[4] + dy * dy * share, a[5] + b[5] + dx * dy * share])
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:

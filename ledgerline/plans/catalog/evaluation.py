@@ -340,3 +340,18 @@ def metrics_record(spark, folder):
         F.aggregate("fare_bands", F.lit(0).cast("long"), lambda a, x: a + x["rows"]).alias("band_rows"),
         F.array_join(F.array_sort(F.transform("fare_bands", lambda x: x["fare_band"])), ",").alias("bands"),
     )
+
+
+@query("roc_auc", f"""
+WITH {TRIP_SQL}, ranked AS (
+  SELECT CASE WHEN amount > 50000 THEN 1 ELSE 0 END AS label,
+         rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS place FROM trip),
+sums AS (SELECT CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives,
+                sum(CASE WHEN label = 1 THEN place END) AS places FROM ranked)
+SELECT positives + negatives AS row_count, positives, negatives,
+       (places - positives * (positives + 1) / 2.0) / (positives * 1.0 * negatives) AS roc_auc FROM sums
+""", rounded="roc_auc", digits=9)
+def roc_auc(spark, folder):
+    """How well the quantity, with its many ties, tells high amounts."""
+    rows = trip(spark, folder).select("l_quantity", (F.col("amount") > 50_000).cast("int").alias("label"))
+    return ev.roc_auc(rows, "label", "l_quantity")

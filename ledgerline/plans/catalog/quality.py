@@ -72,6 +72,19 @@ def reconcile_rows(spark, folder):
     return q.row_differences(e.select(*cols), e.where(F.col("value") <= 300).select(*cols))
 
 
+@query("reconcile_ranges", """
+SELECT event_id, user_id, event_type, value, CAST(sum(side) AS BIGINT) AS surplus FROM (
+  SELECT event_id, user_id, event_type, value, 1 AS side FROM events
+  UNION ALL SELECT event_id, user_id, event_type, CASE WHEN event_id = 77 THEN value + 1 ELSE value END, -1 FROM events WHERE event_id <> 501) t
+GROUP BY ALL HAVING sum(side) <> 0
+""")
+def reconcile_ranges(spark, folder):
+    """One changed and one missing event, found by digests of key ranges."""
+    e = events(spark, folder).select("event_id", "user_id", "event_type", "value")
+    changed = e.where("event_id <> 501").withColumn("value", F.when(F.col("event_id") == 77, F.col("value") + 1).otherwise(F.col("value")))
+    return q.reconcile_ranges(e, changed, "event_id")
+
+
 def _missing_rate_sql() -> str:
     parts = [
         f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS missing_rate "
