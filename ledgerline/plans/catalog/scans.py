@@ -55,6 +55,55 @@ def manifest_check(spark, folder):
     return same.join(shapes, "file").select("file", "matches", "row_count", "column_count")
 
 
+def _named(spark, folder, target, tables_, edit=lambda df: df):
+    """Tables of the folder as single files ``<table>.parquet`` under ``target``, replaced if there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    for t in tables_:
+        made = scratch_path(spark, t)
+        edit(tables.table(spark, folder, t)).coalesce(1).write.parquet(made)
+        part = next(f for f in spark.read.parquet(made).inputFiles())
+        system.mkdirs(path(target))
+        system.delete(path(f"{target}/{t}.parquet"), False)
+        system.rename(path(part), path(f"{target}/{t}.parquet"))
+
+
+@query("pinned_manifest", """
+SELECT 'nation.parquet' AS file, 'same' AS status, count(*) AS pinned_rows, count(*) AS row_count, false AS other_hash FROM nation
+UNION ALL SELECT 'supplier.parquet', 'changed', count(*), count(*) FILTER (WHERE s_suppkey > 3), true FROM supplier
+UNION ALL SELECT 'customer.parquet', 'added', NULL, count(*), NULL FROM customer
+UNION ALL SELECT 'region.parquet', 'missing', count(*), NULL, NULL FROM region
+""")
+def pinned_manifest(spark, folder):
+    """A copy of three tables is pinned; then one loses rows, one goes and a fourth comes."""
+    target, kept = scratch_path(spark, "files"), scratch_path(spark, "pinned")
+    _named(spark, folder, target, ["nation", "supplier", "region"])
+    manifest.pin(spark, target, kept)
+    _named(spark, folder, target, ["supplier"], lambda df: df.where("s_suppkey > 3"))
+    _named(spark, folder, target, ["customer"])
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/region.parquet")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    files = manifest.compare_with_pinned(spark, target, kept)
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "status", F.col("pinned_row_count").alias("pinned_rows"),
+        "row_count", (F.col("sha256") != F.col("pinned_sha256")).alias("other_hash"),
+    )
+
+
+@query("footer_profile", """
+SELECT 'orders.parquet' AS file, count(*) AS row_count, CAST((SELECT count(*) FROM information_schema.columns WHERE table_name = 'orders') AS INTEGER) AS column_count,
+       count(*) - count(o_orderkey) AS null_keys, CAST(min(o_orderkey) AS VARCHAR) AS low_key, CAST(max(o_orderkey) AS VARCHAR) AS high_key FROM orders
+""")
+def footer_profile(spark, folder):
+    """Rows, columns, nulls and range of the order key from the footers."""
+    files = manifest.footer_manifest(spark, folder, "orders*")
+    key = F.filter("columns", lambda c: c["name"] == "o_orderkey")[0]
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "row_count", "column_count",
+        key["nulls"].alias("null_keys"), key["low"].alias("low_key"), key["high"].alias("high_key"),
+    )
+
+
 _DAILY_SQL = """
 SELECT CAST(event_type AS VARCHAR) AS event_type, CAST(user_id AS BIGINT) AS user_id,
        count(*) AS row_count, avg(value) AS mean_value FROM events GROUP BY 1, 2

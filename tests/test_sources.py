@@ -60,3 +60,27 @@ def test_sinks_round_trip(spark, folder):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_footers_and_pinned_files(spark, tmp_path):
+    from ledgerline.sources import manifest
+
+    folder, kept = str(tmp_path / "files"), str(tmp_path / "kept")
+    for i in range(4):
+        spark.range(10 * i, 10 * i + 5).selectExpr("id", "IF(id % 5 = 0, NULL, id) AS v", "'t' AS s").coalesce(1).write.parquet(f"{folder}/{i}")
+    rows = manifest.footer_manifest(spark, folder).orderBy("path").collect()
+    assert [r["row_count"] for r in rows] == [5] * 4 and all(r["column_count"] == 3 for r in rows)
+    columns = {c["name"]: c for c in rows[1]["columns"]}
+    assert (columns["id"]["low"], columns["id"]["high"], columns["v"]["nulls"]) == ("10", "14", 1)
+    manifest.pin(spark, folder, kept)
+    files = {r["path"].split("/")[-2]: r["path"].removeprefix("file:") for r in rows}
+    data = open(files["1"], "rb").read()
+    open(files["1"], "wb").write(open(files["0"], "rb").read())
+    open(files["2"].replace("part-", "other-"), "wb").write(data)
+    spark.read.parquet(f"{folder}/3").write.mode("overwrite").parquet(f"{folder}/4")
+    got = {(r["path"].split("/")[-2], r["status"]) for r in manifest.compare_with_pinned(spark, folder, kept).collect()}
+    assert got == {("0", "same"), ("1", "changed"), ("2", "same"), ("2", "added"), ("3", "same"), ("4", "added")}
+    empty = str(tmp_path / "none")
+    (tmp_path / "none").mkdir()
+    lost = manifest.compare_with_pinned(spark, empty, kept).collect()
+    assert {r["status"] for r in lost if "/files/" in r["path"]} == {"missing"} and len(lost) == 4
