@@ -182,9 +182,13 @@ def achieved(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None
     return out
 
 
-def draw(seed: int = SEED) -> Column:
-    """A number in [0, 1) from the document's id and text."""
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))), 11)
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def draw(text: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) from the document's id and the hash of its text."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), text), 11)
     return place / float(1 << 53)
 
 
@@ -200,14 +204,15 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = Non
     plain = docs.drop("weight", "probability", "sampled").withColumns({f"_{d}": _category(d) for d in dimensions})
     joined = join_few(plain, rates, [f"_{d}" for d in dimensions], row_bytes=CELL_BYTES).drop(*[f"_{d}" for d in dimensions])
     filled = joined.withColumns({"weight": F.coalesce("weight", F.lit(0.0)), "probability": F.coalesce("probability", F.lit(0.0))})
-    return filled.withColumn("sampled", draw(seed) < F.col("probability"))
+    text = F.col("_text_hash") if "_text_hash" in docs.columns else text_hash()
+    return filled.withColumn("sampled", draw(text, seed) < F.col("probability"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, categories, tokens, cell weight, probability and whether the document is drawn."""
     narrow = with_tokens_and_topic(docs.select("doc_id", "source", "lang", "text"))
-    slim = stored(narrow.withColumn("text", F.xxhash64(F.coalesce("text", F.lit(""))).cast("string")), "document-categories")
-    return mix(slim).drop("text")
+    slim = stored(narrow.withColumn("_text_hash", text_hash()).drop("text"), "document-categories")
+    return mix(slim).drop("_text_hash")
 
 
 def sampled(docs: DataFrame) -> DataFrame:

@@ -126,3 +126,9 @@ def test_default_setting_meets_its_targets(spark):
             else:
                 assert sizes[d, c] == pytest.approx(held[d, c], rel=1e-3) and held[d, c] < share * total
     assert {k for k, f in found.items() if f["infeasible"]} == {("topic", "r"), ("source", "b")}
+
+
+def test_query_and_stage_draw_the_same_documents(spark, folder):
+    docs = documents(spark, folder)
+    told = {r["doc_id"] for r in mixing.report(docs).where("sampled").select("doc_id").collect()}
+    assert told == {r["doc_id"] for r in mixing.sampled(docs).select("doc_id").collect()}
