@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import join_few, keyed, stored
 from ledgerline.llm.components import components
 
 SEED = 42
@@ -122,6 +122,20 @@ def simhash_components(docs: DataFrame, ngram: int = 3, max_bits: int = MAX_BITS
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """The rows, in the same columns, whose document comes first in its component.
+
+    Rows that share id and text are one document, of which one row stays. Only the keys of
+    dropped documents are joined back; they are broadcast while they are few.
+    """
+    rows, unique = keyed(docs)
+    base = rows if unique else rows.dropDuplicates(["_key"])
+    found = simhash_components(base.select(F.col("_key").alias("doc_id"), "text"))
+    dropped = stored(
+        found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key"), F.lit(True).alias("_gone")), "dropped")
+    return join_few(base, dropped, ["_key"], salts=1).where("_gone IS NULL").select(*docs.columns)
+
+
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint as 16 hexadecimal digits, component_id."""
     found = simhash_components(docs)

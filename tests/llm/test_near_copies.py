@@ -4,7 +4,6 @@ import random
 
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from ledgerline.llm import near_copies
 from ledgerline.llm.common import documents
 
@@ -48,14 +47,14 @@ def variants(rng, first, count):
     return [(first + i, text) for i, text in enumerate(rows)]
 
 
-def test_stage_drops_near_copies_that_two_bits_miss(spark, folder):
+def test_given_documents_and_planted_families(spark, folder):
     rows = variants(random.Random(3), 10 ** 6, 60)
     given = documents(spark, folder)
     planted = spark.createDataFrame(rows, "doc_id long, text string")
     docs = given.unionByName(planted, allowMissingColumns=True)
     want, similar = firsts([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
     assert similar > 100  # else the planted rows are not the test they should be
-    got = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, folder)
+    got = near_copies.one_per_group(docs)
     assert got.columns == docs.columns
     assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(want)
 

@@ -77,6 +77,24 @@ def test_odd_rows(spark):
     assert simhash.report(docs.limit(0)).collect() == []
 
 
+def test_one_per_group(spark):
+    """Copies of a text and of an id go, whichever row they are in; other columns stay."""
+    words = [f"w{i}" for i in range(400)]
+    near = [*words[:200], "other", *words[201:]]
+    texts = {7: " ".join(words), 3: " ".join(near), 5: " ".join(words).upper(), 9: "something else", 8: None, 6: " ", 4: "Something  else"}
+    rows = [(d, t, "clash") for d, t in texts.items()]
+    schema = "doc_id long, text string, component_id string"
+    label = groups([(d, fingerprint(t)) for d, t in texts.items()])
+    docs = spark.createDataFrame(rows, schema)
+    want = sorted((d, texts[d], "clash") for d in texts if label[d] == d)
+    assert sorted(map(tuple, simhash.one_per_group(docs).collect())) == want and {d for d, _, _ in want} >= {4, 6}
+    shared = spark.createDataFrame([*rows, *rows, (None, "w0 w1", "clash"), (None, "w0 w1", "clash"), (9, texts[7], "clash")], schema)
+    got = simhash.one_per_group(shared).collect()
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == [d for d, _, _ in want]
+    assert [r["text"] for r in got if r["doc_id"] is None] == ["w0 w1"]
+    assert simhash.one_per_group(docs.limit(0)).collect() == []
+
+
 def test_long_text_in_batches(monkeypatch):
     text = " ".join(f"w{i % 3001}" for i in range(9000))
     whole = simhash.text_fingerprint(text)
