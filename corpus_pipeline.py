@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import genetic, line_dedup, mixing, near_copies as near_copy_groups, quality_rules
+from ledgerline.llm import genetic, line_dedup, mixing, quality_rules, simhash
 from ledgerline.llm.common import documents, stored
 
 
@@ -24,8 +24,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group linked by five-word Jaccard similarities of 0.8 or more."""
-    return near_copy_groups.one_per_group(docs)
+    """The first document of each group linked by SimHash fingerprints at two or fewer bits."""
+    return simhash.one_per_group(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
