@@ -12,13 +12,14 @@ by document, then by place.
    of the shared one, which bound the similarity from above; what passes is verified.
 4. In each group of a shared token, a line is first compared with the first line of the
    group and the one before it. Only lines that are not resolved this way are joined with
-   the whole group, so a family of many variants is never expanded into its pairs.
+   the whole group. A family of variants is resolved by its first and previous members; lines
+   that share a rare token without being similar are joined pair by pair.
 
 Only column functions run. Defined results: null, empty and blank texts have no lines to
 remove; lines without a word always stay. Rows that share an id are ordered by their texts'
 hashes; rows that also share the text are one document. Rows without an id come last. An
 empty table gives an empty result. Other columns pass through ``without_similar_lines``,
-where only the text and, if there is one, ``n_chars`` change.
+whatever their names, where only the text and, if there is one, ``n_chars`` change.
 """
 
 from __future__ import annotations
@@ -149,7 +150,7 @@ def _base(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def without_similar_lines(docs: DataFrame) -> DataFrame:
     """The table with the remaining text of each row, in the same columns."""
-    rows, base = _base(docs)
+    rows, base = _base(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_original")))
     lists = stored(kept_lines(base), "kept-lines")
     lists = lists.withColumnRenamed("kept", "_kept")
     joined = join_lists(rows, lists, "_key", "_kept").withColumn("_all", F.split("text", "\n"))
@@ -157,9 +158,10 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     places = F.array_sort(F.array_union(blank, F.coalesce("_kept", F.expr("CAST(array() AS array<int>)"))))
     left = F.expr("array_join(transform(_places, i -> _all[i]), '\\n')")
     made = joined.withColumn("_places", places).withColumn("text", F.when(F.col("text").isNotNull(), left))
-    if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
-    return made.select(*docs.columns)
+    columns = {c: F.col("_original").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType)
+    return made.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def report(docs: DataFrame) -> DataFrame:

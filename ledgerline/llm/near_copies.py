@@ -150,7 +150,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
 
     Only the keys of dropped documents are joined back; they are broadcast while they are few.
     """
-    rows, unique = keyed(docs)
+    rows, unique = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_original")))
     base = rows if unique else rows.dropDuplicates(["_key"])
     sets, ranks = _sets_and_classes(base)
     firsts = sets.groupBy("a", "b").agg(F.min("_key").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
@@ -159,4 +159,4 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     nodes = join_few(base.select("_key", "text"), copies, ["_key"], row_bytes=24, salts=1).where("_gone IS NULL").drop("_gone")
     reach = components(links(nodes, ranks)).where("node <> component")
     dropped = stored(copies.union(reach.select(F.col("node").alias("_key"), F.lit(True).alias("_gone"))), "dropped")
-    return join_few(base, dropped, ["_key"], row_bytes=24, salts=1).where("_gone IS NULL").select(*docs.columns)
+    return join_few(base, dropped, ["_key"], row_bytes=24, salts=1).where("_gone IS NULL").select("_original.*")

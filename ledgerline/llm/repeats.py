@@ -16,7 +16,8 @@ with a smaller id, or earlier in its own. Strings are judged on the input.
 
 Suffixes start at the strings of fetched stretches only, and the index is split by grams: one
 suffix array of the whole corpus would have to be merged in a single task. Tasks hold a
-bounded number of stretches at a time. What is removed is decided by comparing bytes.
+bounded number of stretches at a time, and levels last as long as the task that holds them.
+Whole stretches are compared by two 64-bit hashes, of gram and content, fetched ones by bytes.
 
 Defined results: null and empty texts have no bytes; shorter ones than ``LEAST`` lose none.
 Rows that share an id are ordered by their texts' hashes; rows that also share the text are

@@ -128,12 +128,12 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     Rows that share id and text are one document, of which one row stays. Only the keys of
     dropped documents are joined back; they are broadcast while they are few.
     """
-    rows, unique = keyed(docs)
+    rows, unique = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_original")))
     base = rows if unique else rows.dropDuplicates(["_key"])
     found = simhash_components(base.select(F.col("_key").alias("doc_id"), "text"))
     dropped = stored(
         found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key"), F.lit(True).alias("_gone")), "dropped")
-    return join_few(base, dropped, ["_key"], salts=1).where("_gone IS NULL").select(*docs.columns)
+    return join_few(base, dropped, ["_key"], salts=1).where("_gone IS NULL").select("_original.*")
 
 
 def report(docs: DataFrame) -> DataFrame:

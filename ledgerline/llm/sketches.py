@@ -42,7 +42,8 @@ def with_sketch(df: DataFrame, text: str, sketch: str, k: int = SKETCH_SIZE, wor
 
 
 def merge_sketches(df: DataFrame, keys: Sequence[str], sketch: str, k: int = SKETCH_SIZE) -> DataFrame:
-    """One merged sketch per group of parts. Each task passes on at most k values of a group."""
+    """One merged sketch per group of parts. Values are made distinct first; of each group's, a task
+    of the last step keeps k."""
     keys = list(keys)
     ranked = Window.partitionBy(*keys).orderBy("_value")
     values = df.select(*keys, F.explode_outer(sketch).alias("_value")).distinct()

@@ -16,6 +16,9 @@ from tests.llm.test_quality_rules import brute_force as brute_rules
 from tests.llm.test_simhash import fingerprint, groups
 
 
+CLASHING = ["_key", "_kept", "_all", "_places", "_gone", "_tie", "_bad", "_done", "_words", "_original"]
+
+
 @pytest.fixture(scope="module")
 def results(spark, folder, tmp_path_factory):
     """Rows of each stage, as the driver would run them."""
@@ -66,7 +69,7 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
             (3, long[5000:], "en", "b", 3), (None, long[::-1], None, None, 9), (4, "few words", "de", "b", 9)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for table in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
-        docs = table.selectExpr("*", "'x' AS tokens", "1 AS kept", "2 AS _key0")
+        docs = table.selectExpr("*", "'x' AS tokens", "1 AS kept", *[f"2 AS {c}" for c in CLASHING])
         for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
             before = docs.columns
             docs = stage(spark, docs, "")
@@ -74,4 +77,5 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
             docs = spark.read.parquet(str(tmp_path / f"{table.count()}-{number}"))
             assert number == 4 or docs.columns == before
             assert number == 4 or {(r["tokens"], r["kept"]) for r in docs.collect()} <= {("x", 1)}
+            assert number == 4 or all(r[c] == 2 for r in docs.collect() for c in CLASHING)
         assert table.count() or docs.count() == 0
