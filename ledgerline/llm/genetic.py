@@ -2,8 +2,9 @@
 
 An individual is a packing as groups of equal bins (see ``packing``). Crossover takes whole
 well-filled bins of one parent into the other, drops the bins of the other that hold the
-same pieces, and places what those bins held besides by best fit. Each island evolves its
-own individuals in a task; between rounds each sends its best to the next island.
+same pieces, and places what those bins held besides: first in exchange for one or two pieces of a
+bin that they fill better, so that smaller pieces are left over, then by best fit. Each island
+evolves its own individuals in a task; between rounds each sends its best to the next island.
 
 No packing needs fewer bins than the tokens fill, so islands stop there.
 """
@@ -12,7 +13,9 @@ from __future__ import annotations
 
 import json
 import random
+from bisect import bisect_right
 from collections import Counter
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +27,9 @@ from ledgerline.llm.tokens import pieces
 
 ISLANDS = 6
 POPULATION = 8
-GENERATIONS = 12
+GENERATIONS = 24
 ROUNDS = 3
+EXCHANGED = 128  # groups of bins that are tried for exchanges in one step
 SCHEMA = "island int, bins bigint, waste double, genome string"
 
 
@@ -48,6 +52,56 @@ def merged(groups: list[Group]) -> list[Group]:
     return [Group(lengths, n) for lengths, n in sorted(counts.items()) if n]
 
 
+def exchange(lengths: tuple[int, ...], free: int, loose: list[int]) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
+    """(out, in): at most two pieces of a bin and one or two of the ascending ``loose`` lengths
+    that fill more of it, as much as any such exchange; none if nothing fills more."""
+    best, gain = None, 0
+    outs = {(), *((n,) for n in lengths), *combinations(sorted(lengths), 2)}
+    for out in sorted(outs):
+        least, room = sum(out), sum(out) + free
+        at = bisect_right(loose, room) - 1
+        if at >= 0 and loose[at] - least > gain:
+            best, gain = (out, (loose[at],)), loose[at] - least
+        low, high = 0, at
+        while low < high:  # two different lengths whose sum comes closest to the room
+            both = loose[low] + loose[high]
+            if both > room:
+                high -= 1
+                continue
+            if both - least > gain:
+                best, gain = (out, (loose[low], loose[high])), both - least
+            low += 1
+        if gain == free:
+            break
+    return best
+
+
+def exchanged(groups: list[Group], displaced: Counter, limit: int, rng: random.Random, most: int = EXCHANGED) -> tuple[list[Group], Counter]:
+    """The groups and displaced pieces after exchanges in groups with room, if many in some of them."""
+    roomy = [g for g in groups if sum(g.lengths) < limit]
+    rng.shuffle(roomy)
+    left, found = Counter(displaced), [*roomy[most:], *[g for g in groups if sum(g.lengths) == limit]]
+    for group in roomy[:most]:
+        count = group.count
+        while count:
+            free = limit - sum(group.lengths)
+            swap = exchange(group.lengths, free, sorted(n for n, k in left.items() if k > 0))
+            if swap is None:
+                break
+            out, into = Counter(swap[0]), Counter(swap[1])
+            times = min(count, *(left[n] // k for n, k in into.items()))
+            kept = Counter(group.lengths) - out + into
+            found.append(Group(tuple(sorted(kept.elements(), reverse=True)), times))
+            for n, k in out.items():
+                left[n] += k * times
+            for n, k in into.items():
+                left[n] -= k * times
+            count -= times
+        if count:
+            found.append(Group(group.lengths, count))
+    return found, +left
+
+
 def crossover(mother: list[Group], father: list[Group], limit: int, rng: random.Random) -> list[Group]:
     """The mother's packing with some of the father's fullest bins in it."""
     ranked = sorted(father, key=lambda g: (-sum(g.lengths), rng.random()))
@@ -73,20 +127,24 @@ def crossover(mother: list[Group], father: list[Group], limit: int, rng: random.
             doubled[length] -= gone
             displaced[length] += k * needed - gone
         kept.append(Group(group.lengths, group.count - needed))
-    return merged(best_fit(+displaced, limit, [*injected, *[g for g in kept if g.count]]))
+    placed_groups, left = exchanged([*injected, *[g for g in kept if g.count]], +displaced, limit, rng)
+    return merged(best_fit(left, limit, placed_groups))
 
 
 def mutated(groups: list[Group], limit: int, rng: random.Random) -> list[Group]:
-    """A few of the emptiest and some random bins are emptied and their pieces placed anew."""
+    """The emptiest, some other loose and some random bins are emptied and their pieces placed anew."""
     ranked = sorted(groups, key=lambda g: (sum(g.lengths), rng.random()))
+    loose = max(sum(sum(g.lengths) < limit for g in ranked) // 4, 1)
+    picked = {0, *(rng.randrange(loose) for _ in range(rng.randint(1, 3))), *(rng.randrange(len(ranked)) for _ in range(rng.randint(0, 3)))}
     emptied, kept = Counter(), []
     for i, group in enumerate(ranked):
-        gone = min(group.count, rng.randint(1, 4)) if i < 2 or rng.random() < 0.1 else 0
+        gone = int(i in picked)
         for length in group.lengths:
             emptied[length] += gone
         kept.append(Group(group.lengths, group.count - gone))
-    order = sorted(emptied, key=lambda n: -n * rng.uniform(0.6, 1.4))
-    return merged(best_fit(+emptied, limit, [g for g in kept if g.count], [n for n in order if emptied[n]]))
+    placed_groups, left = exchanged([g for g in kept if g.count], +emptied, limit, rng)
+    order = sorted(left, key=lambda n: -n * rng.uniform(0.6, 1.4))
+    return merged(best_fit(left, limit, placed_groups, order))
 
 
 def founder(counts: dict[int, int], limit: int, rng: random.Random, exact: bool) -> list[Group]:
@@ -99,7 +157,8 @@ def evolve(population: list[list[Group]], limit: int, rng: random.Random, genera
            size: int = POPULATION) -> list[list[Group]]:
     """The island's individuals after some generations, best first."""
     def rank(found):
-        return sorted(found, key=lambda g: fitness(g, limit))[:size]
+        different = {tuple(sorted((g.lengths, g.count) for g in groups)): groups for groups in found}
+        return sorted(different.values(), key=lambda g: fitness(g, limit))[:size]
 
     population = rank(population)
     for _ in range(generations):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import join_few, stored
-from ledgerline.llm.tokens import pieces
+from ledgerline.llm.tokens import id_type, pieces
 
 
 @dataclass(frozen=True)
@@ -166,8 +166,8 @@ def placed(cut: DataFrame, counts: DataFrame, groups: list[Group]) -> DataFrame:
 def packed_matrix(docs: DataFrame, limit: int = 2048, end: int = 50256, ranks: str | None = None) -> DataFrame:
     """One row per sequence: the ids as a row of a matrix, and what marks its documents.
 
-    ``ids`` are ``limit`` little-endian 16-bit numbers, filled up with the end id after
-    ``n_tokens``; ``cu_seqlens`` are the cumulative lengths of the segments from 0;
+    ``ids`` are ``limit`` little-endian numbers of 16 bits (of 32, if the vocabulary or the end
+    id needs them; see ``tokens.id_type``), filled up with the end id after ``n_tokens``; ``cu_seqlens`` are the cumulative lengths of the segments from 0;
     ``reset_at`` the places where positions start again from 0; ``doc_ids``, ``pieces`` and
     ``starts`` say which part of which document a segment is.
 
@@ -176,6 +176,7 @@ def packed_matrix(docs: DataFrame, limit: int = 2048, end: int = 50256, ranks: s
     are packed with a null id; repeated rows are packed each. No documents give no
     sequences. Texts are read whole, other columns are not read.
     """
+    kind = id_type(end, ranks)
     cut = stored(pieces(docs, limit, end, ranks, with_ids=True), "token-pieces")
     counts = length_counts(cut)
     rows = placed(cut.drop("ids_crc32"), counts, best_fit(histogram(counts), limit))
@@ -189,14 +190,14 @@ def packed_matrix(docs: DataFrame, limit: int = 2048, end: int = 50256, ranks: s
             columns = [batch[c] for c in ("sequence_id", "doc_id", "piece", "start", "length", "ids")]
             for sequence, *segment in zip(*columns):
                 if sequence != open_id and segments:
-                    made.append(sequence_row(open_id, segments, limit, end))
+                    made.append(sequence_row(open_id, segments, limit, end, kind))
                     segments = []
                 open_id = sequence
                 segments.append(segment)
             if made:
                 yield pd.DataFrame(made, columns=MATRIX)
         if segments:
-            yield pd.DataFrame([sequence_row(open_id, segments, limit, end)], columns=MATRIX)
+            yield pd.DataFrame([sequence_row(open_id, segments, limit, end, kind)], columns=MATRIX)
 
     return ordered.mapInPandas(build, MATRIX_SCHEMA)
 
@@ -208,10 +209,10 @@ MATRIX_SCHEMA = (
 )
 
 
-def sequence_row(sequence: int, segments: list, limit: int, end: int) -> tuple:
+def sequence_row(sequence: int, segments: list, limit: int, end: int, kind: str) -> tuple:
     docs, numbers, starts, lengths, ids = zip(*segments)
     ends = np.cumsum(lengths).tolist()
-    filler = np.full(limit - ends[-1], end, "<u2").tobytes()
+    filler = np.full(limit - ends[-1], end, kind).tobytes()
     ids_of = [None if pd.isna(d) else int(d) for d in docs]
     return sequence, ends[-1], b"".join(ids) + filler, [0, *ends], [0, *ends[:-1]], ids_of, list(numbers), list(starts)
 

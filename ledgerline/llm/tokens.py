@@ -29,6 +29,13 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def id_type(end: int, ranks: str | None = None) -> str:
+    """Little-endian type that holds every id of the vocabulary and the end id: 16 bits, or 32."""
+    with open(ranks or default_ranks(), "rb") as file:
+        top = max(int(line.split()[1]) for line in file if line.strip())
+    return "<u2" if max(top, end, *SPECIAL.values()) < 1 << 16 else "<u4"
+
+
 class Encoder:
     """Encodes with ranks that came as bytes; built once per worker process."""
 
@@ -66,8 +73,9 @@ def pieces(docs: DataFrame, limit: int, end: int, ranks: str | None = None, with
     """doc_id, piece, start, length, ids_crc32, part, number, and the ids if asked for.
 
     ``part`` is the task's partition and ``number`` counts the pieces of one length inside
-    it. Store the rows before using both: that pins them. Ids are little-endian 16-bit numbers.
+    it. Store the rows before using both: that pins them. Ids are numbers of ``id_type``.
     """
+    kind = id_type(end, ranks) if with_ids else None
     with open(ranks or default_ranks(), "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
@@ -82,7 +90,7 @@ def pieces(docs: DataFrame, limit: int, end: int, ranks: str | None = None, with
                 for piece, (start, length) in enumerate(cut(len(ids), limit)):
                     mine = ids[start:start + length]
                     row = (doc, piece, start, length, zlib.crc32(mine.tobytes()), part, numbers[length])
-                    rows.append(row + (mine.astype("<u2").tobytes(),) if with_ids else row)
+                    rows.append(row + (mine.astype(kind).tobytes(),) if with_ids else row)
                     numbers[length] += 1
                 if with_ids and len(rows) >= 4096:
                     yield frame(rows)

@@ -1,5 +1,6 @@
 """Token pieces, packings and matrices: exact round trips and brute force."""
 
+import base64
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -100,6 +101,31 @@ def test_genetic_packing_keeps_all_pieces_and_improves(seed):
     assert content(child) == counts
 
 
+def test_exchanges_fill_bins_and_lose_nothing():
+    rng = random.Random(4)
+    assert genetic.exchange((60, 30), 10, [5, 40]) == ((30,), (40,))
+    assert genetic.exchange((60,), 40, [15, 25, 39]) == ((), (15, 25))
+    assert genetic.exchange((90, 10), 0, [5, 95]) is None
+    for _ in range(50):
+        lengths = Counter(rng.randint(1, 60) for _ in range(60))
+        groups = packing.best_fit(dict(lengths), 100)
+        loose = Counter(rng.randint(1, 60) for _ in range(8))
+        made, left = genetic.exchanged(groups, loose, 100, rng)
+        assert content(made) + left == lengths + loose
+        assert packing.bins_of(made) == packing.bins_of(groups) and all(sum(g.lengths) <= 100 for g in made)
+        assert sum(n * k for n, k in left.items()) <= sum(n * k for n, k in loose.items())
+
+
+def test_evolution_beats_its_founders_on_given_lengths(spark, folder):
+    """Fuller bins than any founder's, from mutation, crossover and exchanges."""
+    counts = packing.histogram(packing.length_counts(packing.stored(tokens.pieces(documents(spark, folder), 1024, 2), "pieces")))
+    rng = random.Random(1)
+    founders = [genetic.founder(counts, 1024, rng, exact=i == 0) for i in range(genetic.POPULATION)]
+    found = genetic.evolve(founders, 1024, rng, 12, 0)
+    assert all(content(g) == Counter(counts) for g in found)
+    assert genetic.fitness(found[0], 1024) < min(genetic.fitness(g, 1024) for g in founders)
+
+
 def test_islands(spark):
     rng = random.Random(9)
     counts = dict(Counter(rng.randint(20, 50) for _ in range(400)))
@@ -173,6 +199,20 @@ def test_matrix_round_trip(spark, folder, texts):
     assert len({r["sequence_id"] for r in matrix}) == len(matrix)
 
 
+def test_ids_over_16_bits(spark, tmp_path):
+    """A vocabulary or an end id that 16 bits cannot hold is written in 32."""
+    lines = open(tokens.default_ranks()).read().splitlines()
+    ranks = tmp_path / "wide.tiktoken"
+    ranks.write_text("\n".join([*lines, f"{base64.b64encode(b' neverseen wide').decode()} 70000"]))
+    assert tokens.id_type(2) == "<u2" and tokens.id_type(65_535) == "<u2" and tokens.id_type(65_536) == "<u4"
+    assert tokens.id_type(2, str(ranks)) == "<u4"
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    plain = tokens.Encoder(open(tokens.default_ranks(), "rb").read()).ids("some words", 100_000).tolist()
+    for row in packing.packed_matrix(docs, limit=8, end=100_000).collect():
+        ids = np.frombuffer(row["ids"], "<u4").tolist()
+        assert ids == [*plain, 100_000, *[100_000] * (7 - len(plain))]
+
+
 def test_matrix_is_written(spark, folder, tmp_path):
     matrix = packing.packed_matrix(documents(spark, folder).limit(20))
     packing.write_matrix(matrix, str(tmp_path / "m"))
