@@ -128,12 +128,13 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", max_rate: f
 def passing(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The kept rows, in the same columns.
 
-    The filter reads a row number, so it stays above the counts: pushed below them it would
-    repeat their expressions inside one another.
+    The texts are counted once: the counts are stored with the rows that pass the base rules,
+    the others leave only their counts for their host's rate.
     """
     rows = docs.select(F.col(text).alias("_text"), F.col(host).alias("_host"), F.struct(*docs.columns).alias("_original"))
-    judged = judge(rows, "_text", "_host", max_rate).withColumn("_row", F.monotonically_increasing_id())
-    return judged.where("kept AND _row >= 0").select("_original.*")
+    counted = document_counts(rows, "_text").drop("_text")
+    counts = stored(counted.withColumn("_original", F.when(~F.col("base_failed"), F.col("_original"))), "counted-rows")
+    return _judged(counts, "_host", max_rate).where("kept").select("_original.*")
 
 
 def _judged(counts: DataFrame, host: str, max_rate: float) -> DataFrame:
