@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACES, join_few, join_lists, keyed, stored, words_of
+from ledgerline.llm.common import SPACES, join_few, join_lists, keyed, stored
 
 SHINGLE_WORDS = 5
 P, Q = 4, 5  # similarity P/Q
@@ -42,19 +42,33 @@ def _lines(base: DataFrame) -> DataFrame:
     return split.where(F.length(F.btrim("string", F.lit(SPACES))) > 0)
 
 
+def _line_words(lines: DataFrame) -> DataFrame:
+    """Adds the words of a line as ``_w``; blanks of all kinds become spaces, on which to split costs least."""
+    spaced = F.col("string")
+    for blank in SPACES.strip(" "):
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return lines.withColumn("_w", F.array_remove(F.split(spaced, " "), ""))
+
+
 def _with_tokens(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """Adds the hashes of a line's shingles, with repetitions."""
     picked = ", ".join(f"_w[i + {j}]" for j in range(words))
     hashes = f"""CASE WHEN size(_w) < {words} THEN array(xxhash64(_w))
         ELSE transform(sequence(0, size(_w) - {words}), i -> xxhash64({picked})) END"""
-    return lines.withColumn("_w", words_of("string")).withColumn("tokens", F.expr(hashes)).drop("_w")
+    return _line_words(lines).withColumn("tokens", F.expr(hashes)).drop("_w")
+
+
+def _token_rows(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """The same hashes as rows (t); made after the explode they are compiled, half as dear as in an array."""
+    starts = F.expr(f"explode_outer(sequence(0, greatest(size(_w) - {words}, 0)))")
+    picked = ", ".join(f"_w[i + {j}]" for j in range(words))
+    placed = _line_words(lines).select("_w", starts.alias("i"))
+    return placed.select(F.expr(f"CASE WHEN size(_w) < {words} THEN xxhash64(_w) ELSE xxhash64({picked}) END").alias("t"))
 
 
 def _class_ranks(lines: DataFrame) -> Column:
     """Rank by rarity of each hash class, as a constant array of CLASSES numbers."""
-    # Outer, as a plain explode would repeat the tokens' expression in a filter on its size.
-    tokens = _with_tokens(lines).select(F.explode_outer("tokens").alias("t"))
-    counts = tokens.groupBy(F.pmod("t", F.lit(CLASSES)).alias("c")).agg(F.count("*").alias("n")).collect()
+    counts = _token_rows(lines).groupBy(F.pmod("t", F.lit(CLASSES)).alias("c")).agg(F.count("*").alias("n")).collect()
     ranks = ["0"] * CLASSES
     for place, row in enumerate(sorted(counts, key=lambda r: (r["n"], r["c"]))):
         ranks[row["c"]] = str(place + 1)
