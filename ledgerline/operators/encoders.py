@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -24,6 +26,7 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerline.functions.prefix import running_total
 from ledgerline.functions.quantiles import column_quantiles
@@ -334,6 +337,106 @@ class OrdinalModel(_TableModel):
         return df
 
 
+DRIVER_CATEGORIES = 10_000  # per column; beyond it the vocabulary stays a table
+
+
+class VocabularyIndexer(Estimator, _Columns):
+    """Sorted training categories, as text, become 0..k-1; unknown and null become k.
+
+    One scan estimates the distinct values of all columns. Up to ``limit`` a ``StringIndexer``
+    holds them; beyond it the codes are dense ranks over range-partitioned blocks and stay a
+    table that rows are joined to. The codes are the same.
+    """
+
+    def __init__(self, columns: Sequence[str], suffix: str = "__index", limit: int = DRIVER_CATEGORIES) -> None:
+        super().__init__()
+        self._set(inputCols=list(columns))
+        self.suffix, self.limit = suffix, limit
+
+    def _fit(self, df: DataFrame) -> Model:
+        columns = self.columns()
+        distinct = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+        if max(distinct) <= self.limit:
+            return StringIndexer(
+                inputCols=columns, outputCols=[c + self.suffix for c in columns],
+                handleInvalid="keep", stringOrderType="alphabetAsc",
+            ).fit(df)
+        texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        tables = OrdinalEncoder(columns).fit(texts).tables
+        return VocabularyModel(columns, tables, self.suffix)
+
+
+class VocabularyModel(_TableModel):
+    """Codes from tables of categories; the index columns carry only the number of codes."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        for c in self.columns():
+            name, size = c + self.getOrDefault(self.suffix), self.tables[c].count()
+            joined = lookup_join(df.withColumn("_category", F.col(c).cast("string")), self.tables[c], ["_category"])
+            coded = joined.withColumn(name, F.coalesce("_index", F.lit(size)).cast("double")).drop("_category", "_index")
+            df = coded.withMetadata(name, {"ml_attr": {"type": "nominal", "name": name, "num_vals": size + 1}})
+        return df
+
+
+class HotAssembler(Estimator, _Columns):
+    """One vector of the input columns and a slot per known category of each index column.
+
+    Columns indexed from a table get no slot names: the vector is built from (slot, value)
+    pairs, as names would bring the vocabulary into the plan.
+    """
+
+    def __init__(self, columns: Sequence[str], indexed: Sequence[str], output: str) -> None:
+        super().__init__()
+        self._set(inputCols=list(columns))
+        self.indexed, self.output = list(indexed), output
+
+    def _fit(self, df: DataFrame) -> Model:
+        known = [df.schema[c].metadata.get("ml_attr", {}) for c in self.indexed]
+        if any("vals" not in attribute for attribute in known):
+            sizes = [len(a["vals"]) if "vals" in a else a["num_vals"] for a in known]
+            return SparseAssembler(self.columns(), self.indexed, [k - 1 for k in sizes], self.output)
+        # The dropped last slot is the unknown one, so unknown and null are all zeros.
+        hot = [f"{c}__hot" for c in self.indexed]
+        names = ", ".join(f"`{c}`" for c in hot)
+        return Pipeline(stages=[
+            OneHotEncoder(inputCols=self.indexed, outputCols=hot, dropLast=True),
+            VectorAssembler(inputCols=[*self.columns(), *hot], outputCol=self.output, handleInvalid="error"),
+            SQLTransformer(statement=f"SELECT * EXCEPT ({names}) FROM __THIS__"),
+        ]).fit(df)
+
+
+class SparseAssembler(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+    """A sparse vector from numbers and codes, by column functions; a null number is an error."""
+
+    indexCols = Param(Params._dummy(), "indexCols", "columns of codes", TypeConverters.toListString)
+    sizes = Param(Params._dummy(), "sizes", "known codes per column", TypeConverters.toListInt)
+    outputCol = Param(Params._dummy(), "outputCol", "the vector", TypeConverters.toString)
+
+    def __init__(self, columns: Sequence[str] = (), indexed: Sequence[str] = (), sizes: Sequence[int] = (),
+                 output: str = "") -> None:
+        super().__init__()
+        self._set(inputCols=list(columns), indexCols=list(indexed), sizes=list(sizes), outputCol=output)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        pair = lambda slot, value: F.struct(slot.cast("int").alias("slot"), value.cast("double").alias("value"))
+        pairs = []
+        for place, c in enumerate(self.columns()):
+            number = F.coalesce(F.col(c).cast("double"), F.raise_error(F.lit(f"null in {c}")).cast("double"))
+            pairs.append(pair(F.lit(place), number))
+        offset = len(pairs)
+        for c, size in zip(self.getOrDefault(self.indexCols), self.getOrDefault(self.sizes), strict=True):
+            pairs.append(pair(F.lit(offset) + F.col(c), (F.col(c) < size).cast("double")))
+            offset += size
+        held = F.filter(F.array(*pairs), lambda p: p["value"] != 0.0)
+        # The vector type's own struct form, read back as that type.
+        vector = F.struct(
+            F.lit(0).cast("byte").alias("type"), F.lit(offset).alias("size"),
+            F.transform(held, lambda p: p["slot"]).alias("indices"), F.transform(held, lambda p: p["value"]).alias("values"),
+        )
+        typed = F.from_json(F.to_json(F.struct(vector.alias("v"))), StructType([StructField("v", VectorUDT())]))
+        return df.withColumn(self.getOrDefault(self.outputCol), typed["v"])
+
+
 class TargetEncoder(Estimator, _Columns):
     """Mean of the target per category, shrunk to the global mean by its own variance.
 

@@ -21,7 +21,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import (
     IndexToString,
-    OneHotEncoder,
     SQLTransformer,
     StringIndexer,
     VectorAssembler,
@@ -39,12 +38,15 @@ from ledgerline.functions.expressions import row_sum
 from ledgerline.functions.quantiles import column_quantiles, median_value
 from ledgerline.functions.sizing import spread
 from ledgerline.operators.encoders import (
+    DRIVER_CATEGORIES,
     CategoryEncoder,
     ConstantImputer,
+    HotAssembler,
     MedianImputer,
     ModeImputer,
     OrdinalEncoder,
     PopulationScaler,
+    VocabularyIndexer,
     column_modes,
 )
 from ledgerline.operators.evaluation import (
@@ -83,6 +85,7 @@ class Preprocessing:
     one_hot: bool = True
     ordinal: bool = False  # codes as numbers in sorted order, -1 for values training never saw
     min_frequency: int | None = None
+    driver_categories: int = DRIVER_CATEGORIES  # a column with more keeps its vocabulary in a table
     forbidden: Sequence[str] = field(default=())
 
     def columns(self) -> list[str]:
@@ -124,25 +127,16 @@ class Preprocessing:
             if self.ordinal:
                 stages.append(OrdinalEncoder(categorical, suffix="__index"))
             else:
-                stages.append(StringIndexer(
-                    inputCols=categorical, outputCols=indexed,
-                    handleInvalid="keep", stringOrderType="alphabetAsc",
-                ))
+                stages.append(VocabularyIndexer(categorical, limit=self.driver_categories))
             if self.one_hot and not self.ordinal:
-                # The dropped last slot is the unknown one, so unknown and null are all zeros.
-                hot = [f"{c}__hot" for c in self.categorical]
-                stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True))
-                inputs += hot
-            else:
-                inputs += indexed
+                return [*stages, HotAssembler(inputs, indexed, FEATURES)]
+            inputs += indexed
         stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
         return stages
 
     def tidy(self) -> SQLTransformer:
         """Removes the vector and the working columns after the model."""
         made = [FEATURES, *[f"{c}__in" for c in self.columns()], *self.flags(), *[f"{c}__in__index" for c in self.categorical]]
-        if self.one_hot and not self.ordinal and self.categorical:
-            made += [f"{c}__hot" for c in self.categorical]
         names = ", ".join(f"`{c}`" for c in made)
         return SQLTransformer(statement=f"SELECT * EXCEPT ({names}) FROM __THIS__")
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerline.operators import models as m
@@ -133,3 +134,60 @@ def test_balanced_classifier(sides):
     plain = m.high_value_classifier(train, test, PREP, "h", balanced=False).first()
     balanced = m.high_value_classifier(train, test, PREP, "h").first()
     assert balanced["recall"] >= plain["recall"] and balanced["roc_auc"] > 0.9
+
+
+def test_vocabulary_as_a_table_gives_the_same_vectors(spark, tmp_path):
+    rows = [(i, float(i % 3), None if i % 5 == 0 else f"c{i % 4}", i % 7) for i in range(40)]
+    schema = "id int, x double, c string, d int"
+    train = spark.createDataFrame(rows, schema)
+    test = spark.createDataFrame([*rows[:9], (90, 2.5, "new", 99), (91, None, None, None)], schema)
+    columns = {"numeric": ["x"], "categorical": ["c", "d"], "categorical_fill": None, "indicator": True}
+    vectors = {}
+    for limit in (0, 5, 100):  # all columns, one of them, none
+        for hot in (True, False):
+            fitted = m.assemble(train, m.Preprocessing(**columns, one_hot=hot, driver_categories=limit))
+            if limit == 0:
+                path = str(tmp_path / f"hot-{hot}")
+                fitted.write().save(path)
+                fitted = type(fitted).load(path)
+            made = fitted.transform(test).select("id", m.FEATURES).collect()
+            vectors[limit, hot] = sorted((r["id"], r[m.FEATURES].toArray().tolist()) for r in made)
+    for hot in (True, False):
+        assert vectors[0, hot] == vectors[5, hot] == vectors[100, hot]
+    assert len(vectors[0, True][0][1]) == 2 + 4 + 7
+
+
+def test_models_fit_on_a_vocabulary_table(spark):
+    rows = [(f"c{i % 6}", float(i % 10), int(i % 6 > 2)) for i in range(120)]
+    train = spark.createDataFrame(rows, "c string, x double, y int")
+    scores = {}
+    for limit in (0, 100):
+        prep = m.Preprocessing(numeric=["x"], categorical=["c"], driver_categories=limit)
+        trees = m.Preprocessing(numeric=["x"], categorical=["c"], one_hot=False, scale=False, driver_categories=limit)
+        line = m.fit_model(train, prep, m.LogisticRegression(featuresCol=m.FEATURES, labelCol="y", regParam=0.1), "y")
+        forest = m.fit_model(
+            train, trees, m.RandomForestClassifier(featuresCol=m.FEATURES, labelCol="y", numTrees=5, seed=1), "y"
+        )
+        for model in (line, forest):
+            out = model.transform(train)
+            assert not [c for c in out.columns if c.endswith(("__in", "__index", "__hot"))]
+            made = out.orderBy("c", "x").select(vector_to_array("probability")[1].alias("p")).collect()
+            scores.setdefault(limit, []).append([r["p"] for r in made])
+    for narrow, wide in zip(scores[100], scores[0], strict=True):
+        assert narrow == pytest.approx(wide, abs=1e-9)
+
+
+def test_a_million_categories(spark):
+    n = 1_000_000
+    rows = spark.range(n).select(F.format_string("k%07d", F.col("id")).alias("c"), F.lit(2.0).alias("x"))
+    fitted = m.assemble(rows, m.Preprocessing(numeric=["x"], categorical=["c"], categorical_fill=None, numeric_fill=None, scale=False))
+    made = fitted.transform(rows)
+    assert len(made.schema[m.FEATURES].json()) < 10_000  # no names of categories in the plan
+    own = made.select(F.substring("c", 2, 7).cast("int").alias("slot"), F.to_json(F.struct(m.FEATURES)).alias("j"))
+    form = "struct<features: struct<type: int, size: int, indices: array<int>, values: array<double>>>"
+    row = own.select("slot", F.from_json("j", form).features.alias("v")).agg(
+        F.count("*"), F.min("v.size"), F.max("v.size"),
+        F.sum((F.col("v.indices") == F.array(F.lit(0), F.col("slot") + 1)).cast("int")),
+        F.sum((F.col("v.values") == F.array(F.lit(2.0), F.lit(1.0))).cast("int")),
+    ).first()
+    assert tuple(row) == (n, n + 1, n + 1, n, n)
