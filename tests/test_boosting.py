@@ -104,3 +104,10 @@ def test_labels_and_probabilities(rows):
         m.fit_model(df, PREP, m.boosted_classifier("y"), "y")
     with pytest.raises(ValueError, match="no rows"):
         m.fit_model(df.withColumn("y", F.lit(None).cast("double")), m.Preprocessing(numeric=["a"], numeric_fill=0, scale=False), m.gradient_boosting("y"), "y")
+
+
+def test_cuts_of_few_rows_are_even():
+    values = np.array([0.0] * 2 + [1.0] * 50 + [2.0] * 40 + [3.0] * 8)
+    assert b.even_cuts(values, 5).tolist() == [0.5, 1.5, 2.5]
+    assert b.even_cuts(np.arange(100.0), 3).tolist() == [24.5, 49.5, 74.5]
+    assert b.even_cuts(np.ones(5), 3).tolist() == []
