@@ -113,3 +113,25 @@ def test_grafting_keeps_the_answers():
     parts = {int(n): t.grown(bins[at == n], y[at == n], np.ones((at == n).sum()), 4, 2, 0.0).arrays() for n in np.unique(at)}
     joined = pickle.loads(pickle.dumps(t.grafted(top, parts)))
     assert np.allclose(whole[4][t.landed(bins, whole)], joined[4][t.landed(bins, joined)])
+
+
+@pytest.mark.parametrize("min_leaf", [1, 7])
+def test_sums_per_bin_and_sorted_rows_give_the_same_tree(monkeypatch, min_leaf):
+    rng = np.random.default_rng(1)
+    bins, y = rng.integers(0, 200, (3000, 3)).astype(np.uint8), rng.normal(size=(3000, 2))
+    weights = t.drawn(np.arange(3000, dtype=np.uint64), 0, 1)
+    made = []
+    for cells in (0, 1 << 20):
+        monkeypatch.setattr(t, "CELLS", cells)
+        made.append(t.grown(bins, y, weights, 9, min_leaf, 1e-9).arrays())
+    assert len(made[0][0]) > 100
+    for a, b in zip(*made):
+        assert np.allclose(a, b)
+
+
+def test_rows_of_a_task_become_few_blocks(spark):
+    rows = spark.range(0, 30_000, 1, 1).selectExpr("cast(id % 7 AS double) AS a", "cast(id AS double) AS y")
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows)
+    blocks = t.blocks_of(vectors, "features", ["y"], [np.arange(6) + 0.5])
+    assert [r["size"] for r in blocks.collect()] == [30_000]
+    blocks.unpersist()
