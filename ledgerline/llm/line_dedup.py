@@ -34,6 +34,7 @@ P, Q = 4, 5  # similarity P/Q
 CLASSES = 4096
 LOW_BITS = (1 << 50) - 1
 NO_HASHES = "CAST(array() AS array<bigint>)"
+LINE_BITS, SIZE_BITS, PLACE_BITS = 20, 22, 21  # of line, n and place in one number; what is above them is in another
 
 
 def _lines(base: DataFrame) -> DataFrame:
@@ -75,8 +76,29 @@ def _class_ranks(lines: DataFrame) -> Column:
     return F.split(F.lit(",".join(ranks)), ",").cast("array<bigint>")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(token, _key, spot, more): line, n and place in one number as far as they fit, their upper bits in another."""
+    return rows.select(
+        "token", "_key",
+        F.expr(f"""line & {(1 << LINE_BITS) - 1}L | shiftleft(n & {(1 << SIZE_BITS) - 1}L, {LINE_BITS})
+            | shiftleft(place & {(1 << PLACE_BITS) - 1}L, {LINE_BITS + SIZE_BITS})""").alias("spot"),
+        F.expr(f"""CAST(shiftright(line, {LINE_BITS}) AS bigint) | shiftleft(CAST(shiftright(n, {SIZE_BITS}) AS bigint), 11)
+            | shiftleft(CAST(shiftright(place, {PLACE_BITS}) AS bigint), 21)""").alias("more"),
+    )
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """(token, _key, line, n, place) again."""
+    places = {
+        "line": f"spot & {(1 << LINE_BITS) - 1}L | shiftleft(more & 2047L, {LINE_BITS})",
+        "n": f"shiftright(spot, {LINE_BITS}) & {(1 << SIZE_BITS) - 1}L | shiftleft(shiftright(more, 11) & 1023L, {SIZE_BITS})",
+        "place": f"shiftright(spot, {LINE_BITS + SIZE_BITS}) | shiftleft(shiftright(more, 21), {PLACE_BITS})",
+    }
+    return rows.select("token", "_key", *[F.expr(f"CAST({e} AS int)").alias(c) for c, e in places.items()])
+
+
 def _prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
-    """(token, _key, line, n, place) of the indexed tokens; place counts from 1.
+    """(token, _key, line, n, place) of the indexed tokens, dealt by token; place counts from 1.
 
     A token's sort key is its class's rank above the low bits of its hash. Should two tokens
     of a line share a key, both stay, so prefixes keep their length.
@@ -88,7 +110,7 @@ def _prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
     )))
     prefix = F.expr(f"slice(_o, 1, n - ({P} * n + {Q - 1}) DIV {Q} + 1)")
     rows = ordered.select("_key", "line", "n", F.posexplode_outer(prefix).alias("place", "token"))
-    return rows.withColumn("place", F.col("place") + 1)
+    return _unpacked(_packed(rows.withColumn("place", F.col("place") + 1)).repartition("token"))
 
 
 def _may_match(x: str, y: str) -> Column:

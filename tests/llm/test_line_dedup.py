@@ -90,3 +90,22 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(reversed(lines)) + "\nnew line here")], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_similar_lines(docs).collect()}
     assert got == {1: "\n".join(lines), 2: "new line here"}
+
+
+def test_places_of_any_size_travel_in_two_numbers(spark):
+    top = (1 << 31) - 1
+    rows = [(7, -3, 0, 1, 1), (-7, 1 << 40, 5, 40, 9), (1, 2, top, top, top), (3, 4, 1 << 20, 1 << 22, 1 << 21)]
+    df = spark.createDataFrame(rows, "token long, _key long, line int, n int, place int")
+    packed = line_dedup._packed(df)
+    assert packed.columns == ["token", "_key", "spot", "more"] and [r["more"] for r in packed.collect()][:2] == [0, 0]
+    assert sorted(map(tuple, line_dedup._unpacked(packed).collect())) == sorted(rows)
+
+
+def test_indexed_tokens_are_shuffled_in_four_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f\ng h")], "_key long, text string")
+    lines = line_dedup._lines(docs)
+    rows = line_dedup._prefix_rows(lines, line_dedup._class_ranks(lines))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    kept = plan[:plan.index("RepartitionByExpression")], plan[plan.index("RepartitionByExpression"):]
+    assert "CAST" in kept[0].upper() and "spot" in kept[1] and "more" in kept[1]
+    assert {r["n"] for r in rows.collect()} == {1, 2}
