@@ -53,7 +53,7 @@ def _line_words(lines: DataFrame) -> DataFrame:
 
 def _with_tokens(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """Adds the hashes of a line's shingles, with repetitions."""
-    picked = ", ".join(f"_w[i + {j}]" for j in range(words))
+    picked = ", ".join(f"get(_w, i + {j})" for j in range(words))
     hashes = f"""CASE WHEN size(_w) < {words} THEN array(xxhash64(_w))
         ELSE transform(sequence(0, size(_w) - {words}), i -> xxhash64({picked})) END"""
     return _line_words(lines).withColumn("tokens", F.expr(hashes)).drop("_w")
@@ -104,7 +104,7 @@ def _prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
     of a line share a key, both stay, so prefixes keep their length.
     """
     sets = _with_tokens(lines).select("_key", "line", F.array_distinct("tokens").alias("_t")).withColumn("n", F.size("_t"))
-    rank = lambda t: F.element_at(ranks, (F.pmod(t, F.lit(CLASSES)) + 1).cast("int"))
+    rank = lambda t: F.get(ranks, t.bitwiseAND(F.lit(CLASSES - 1)).cast("int"))  # noqa: E731 - CLASSES is a power of two
     ordered = sets.withColumn("_o", F.sort_array(F.transform(
         "_t", lambda t: F.shiftleft(rank(t), 50).bitwiseOR(t.bitwiseAND(F.lit(LOW_BITS)))
     )))
