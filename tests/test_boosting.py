@@ -111,3 +111,53 @@ def test_cuts_of_few_rows_are_even():
     assert b.even_cuts(values, 5).tolist() == [0.5, 1.5, 2.5]
     assert b.even_cuts(np.arange(100.0), 3).tolist() == [24.5, 49.5, 74.5]
     assert b.even_cuts(np.ones(5), 3).tolist() == []
+
+
+def test_sums_of_joined_features_are_those_of_each():
+    """Walks and sums against plain ones, for nodes with rows and one without."""
+    rng = np.random.default_rng(3)
+    widths, n = [7, 300, 2, 40, 1], 5000
+    ends = np.cumsum(widths).tolist()
+    bins = np.stack([rng.integers(0, w, n) for w in widths]).astype(np.uint16)
+    assert b.joint_features(ends) == [[4, 2, 0, 3], [1]]
+    tree = b.Grown()
+    low, high = tree.branch(0, 1, np.arange(300) <= 120, 1.0, 2.0)
+    tree.branch(low, 3, np.arange(40) % 2 == 0, 3.0, 4.0)
+    none, _ = tree.branch(high, 0, np.zeros(7, bool), 5.0, 6.0)
+    arrays = tree.arrays()
+    place = np.where(bins[1] <= 120, np.where(bins[3] % 2 == 0, 3, 4), 6)
+    assert (b.leaves(bins, arrays) == arrays[4][place]).all()
+    weight = rng.integers(-9, 9, n).astype(float)
+    lists = b.rows_through(bins, arrays, [3, none, 6])
+    rows = np.concatenate(lists)
+    sums = b.bin_sums(b.joint_bins(bins, ends), ends, lists, [weight[rows]])
+    for i, node in enumerate((3, none, 6)):
+        for f, end in enumerate(ends):
+            own = bins[f][place == node]
+            for table, w in zip(sums[:, i], (None, weight[place == node])):
+                assert (table[end - widths[f]:end] == np.bincount(own, w, widths[f])).all()
+
+
+def test_a_block_has_a_feature_in_one_piece():
+    plan = b.Boosting("squares", [0.0], [3, 6], 2, None, None, None)
+    packs = [{"bins": np.array([[0, 1], [2, 0]], np.uint16).tobytes(), "answers": np.array([1.0, 2.0]).tobytes()}] * 2
+    bins, y, scores = next(b.blocks_in(iter(packs), plan))
+    assert bins.flags["C_CONTIGUOUS"] and bins.tolist() == [[0, 2, 0, 2], [1, 0, 1, 0]] and y.tolist() == [1, 2, 1, 2]
+
+
+def test_bundles_are_fitted_on_rows_that_are_joined_once(spark, folder, monkeypatch):
+    from ledgerline.plans.catalog import learners
+
+    seen = []
+
+    def seeing(fit):
+        def run(train, *args, **options):
+            seen.append(train.storageLevel)
+            return fit(train, *args, **{**options, "trees": 1})
+        return run
+
+    for name in ("fit_continuous_target", "fit_two_stage_target", "fit_fixed_amount_target"):
+        monkeypatch.setattr(learners.m, name, seeing(getattr(learners.m, name)))
+    row = learners.predict_bundle(spark, folder).first()
+    assert len(seen) == 3 and all(level.useMemory and level.useDisk for level in seen)
+    assert row["row_count"] > 0 and row["negative_rows"] == row["rows_off_the_sum"] == row["unknown_amounts"] == 0
