@@ -9,7 +9,8 @@ by document, then by place.
    lines, rank the classes; inside a class the hash decides. Lines that are similar enough
    share one of the first n - ceil(4n/5) + 1 tokens in this order, which are indexed.
 3. Lines that share such a token are compared by their numbers of tokens and by the places
-   of the shared one, which bound the similarity from above; what passes is verified.
+   of the shared one, then by the bits their tokens set, which bound the similarity from
+   above; what passes is verified.
 4. In each group of a shared token, a line is first compared with the first line of the
    group and the one before it. Only lines that are not resolved this way are joined with
    the whole group. A family of variants is resolved by its first and previous members; lines
@@ -32,6 +33,7 @@ from ledgerline.llm.common import SPACES, join_few, join_lists, keyed, stored
 SHINGLE_WORDS = 5
 P, Q = 4, 5  # similarity P/Q
 CLASSES = 4096
+BIT_WORDS = 2  # a power of two
 LOW_BITS = (1 << 50) - 1
 NO_HASHES = "CAST(array() AS array<bigint>)"
 LINE_BITS, SIZE_BITS, PLACE_BITS = 20, 22, 21  # of line, n and place in one number; what is above them is in another
@@ -45,10 +47,13 @@ def _lines(base: DataFrame) -> DataFrame:
 
 def _line_words(lines: DataFrame) -> DataFrame:
     """Adds the words of a line as ``_w``; blanks of all kinds become spaces, on which to split costs least."""
-    spaced = F.col("string")
+    spaced, rare = F.col("string"), F.lit(False)
     for blank in SPACES.strip(" "):
+        rare = rare | F.contains("string", F.lit(blank))
         spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
-    return lines.withColumn("_w", F.array_remove(F.split(spaced, " "), ""))
+    gaps = "contains(_s, '  ') OR startswith(_s, ' ') OR endswith(_s, ' ')"
+    words = F.expr(f"CASE WHEN {gaps} THEN array_remove(split(_s, ' '), '') ELSE split(_s, ' ') END")
+    return lines.withColumn("_s", F.when(rare, spaced).otherwise(F.col("string"))).withColumn("_w", words).drop("_s")
 
 
 def _with_tokens(lines: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -121,6 +126,16 @@ def _may_match(x: str, y: str) -> Column:
                   f"AND 1 + least({nx} - {px}, {ny} - {py}) >= {overlap}")
 
 
+def _bits(tokens: str, i: int) -> Column:
+    """One number of a set's bits: those of its tokens that fall to this number, each at a place its hash gives.
+
+    A bit in which two sets differ comes from a token in which they differ, and no token sets two.
+    """
+    own = lambda t: F.when(t.bitwiseAND(F.lit(BIT_WORDS - 1)) == i, F.expr("1L")).otherwise(F.expr("0L"))
+    return F.aggregate(tokens, F.expr("0L"), lambda bits, t: bits.bitwiseOR(
+        F.call_function("shiftleft", own(t), F.shiftright(t, 8).bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def _verified(pairs: DataFrame, base: DataFrame) -> DataFrame:
     """The pairs (x_key, x_line, y_key, y_line) whose token sets are similar enough."""
     pairs = stored(pairs, "line-pairs")
@@ -129,10 +144,16 @@ def _verified(pairs: DataFrame, base: DataFrame) -> DataFrame:
     wanted = join_lists(base, lists, "_key", "_wanted", "inner").select(
         "_key", F.explode_outer("_wanted").alias("line"), F.split("text", "\n").alias("_all")
     ).select("_key", "line", F.expr("_all[line]").alias("string"))
-    sets = stored(_with_tokens(wanted).select("_key", "line", F.array_distinct("tokens").alias("t")), "line-sets")
-    x = sets.select(F.col("_key").alias("x_key"), F.col("line").alias("x_line"), F.col("t").alias("xt"))
-    y = sets.select(F.col("_key").alias("y_key"), F.col("line").alias("y_line"), F.col("t").alias("yt"))
-    both = pairs.join(x, ["x_key", "x_line"]).join(y, ["y_key", "y_line"]).withColumn("_c", F.expr("size(array_intersect(xt, yt))"))
+    found = _with_tokens(wanted).select("_key", "line", F.array_distinct("tokens").alias("t"))
+    sets = stored(found.select("_key", "line", "t", F.size("t").alias("n"), *[_bits("t", i).alias(f"b{i}") for i in range(BIT_WORDS)]), "line-sets")
+    side = lambda s, names: sets.select(*[F.col(c).alias(f"{s}{d}") for c, d in (("_key", "_key"), ("line", "_line"), *names)])
+    small = [(c, c) for c in ("n", *[f"b{i}" for i in range(BIT_WORDS)])]
+    open_pairs = pairs.join(side("x", small), ["x_key", "x_line"]).join(side("y", small), ["y_key", "y_line"])
+    differ = " + ".join(f"bit_count(xb{i} ^ yb{i})" for i in range(BIT_WORDS))
+    close = open_pairs.where(F.expr(f"{Q} * least(xn, yn) >= {P} * greatest(xn, yn) AND {P + Q} * ({differ}) <= {Q - P} * (xn + yn)"))
+    likely = stored(close.select("x_key", "x_line", "y_key", "y_line"), "likely-pairs")
+    both = likely.join(side("x", [("t", "t")]), ["x_key", "x_line"]).join(side("y", [("t", "t")]), ["y_key", "y_line"])
+    both = both.withColumn("_c", F.expr("size(array_intersect(xt, yt))"))
     return both.where(F.expr(f"{Q} * _c >= {P} * (size(xt) + size(yt) - _c)")).select("x_key", "x_line", "y_key", "y_line")
 
 
@@ -152,11 +173,8 @@ def kept_lines(base: DataFrame) -> DataFrame:
     groups = Window.partitionBy("token")
     in_order = groups.orderBy("_key", "line")
     me = F.struct("_key", "line", "n", "place")
-    shared = stored(
-        rows.withColumn("_first", F.first(me).over(in_order)).withColumn("_last", F.lag(me).over(in_order))
-        .withColumn("_m", F.count("*").over(groups)).where("_m > 1"),
-        "shared-tokens",
-    )
+    met = rows.withColumn("_m", F.count("*").over(groups)).where("_m > 1")  # most are alone, and to sort by one number costs least
+    shared = stored(met.withColumn("_first", F.first(me).over(in_order)).withColumn("_last", F.lag(me).over(in_order)), "shared-tokens")
     near = shared.select(
         F.col("_key").alias("y_key"), F.col("line").alias("y_line"), F.col("n").alias("yn"), F.col("place").alias("yplace"),
         F.explode_outer(F.array("_first", "_last")).alias("x"),

@@ -109,3 +109,35 @@ def test_indexed_tokens_are_shuffled_in_four_columns(spark):
     kept = plan[:plan.index("RepartitionByExpression")], plan[plan.index("RepartitionByExpression"):]
     assert "CAST" in kept[0].upper() and "spot" in kept[1] and "more" in kept[1]
     assert {r["n"] for r in rows.collect()} == {1, 2}
+
+
+def test_differing_bits_are_no_more_than_differing_tokens(spark):
+    rng = random.Random(5)
+    whole = [rng.getrandbits(64) - (1 << 63) for _ in range(300)]
+    sets = [rng.sample(whole, size) for size in (1, 2, 20, 21, 60, 150, 299, 300)] + [whole[:50], whole[1:51]]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "i int, t array<bigint>")
+    rows = df.select("i", *[line_dedup._bits("t", j).alias(f"b{j}") for j in range(line_dedup.BIT_WORDS)]).collect()
+    bits = {r["i"]: [b & (1 << 64) - 1 for b in r[1:]] for r in rows}
+    for x in bits:
+        for y in bits:
+            assert sum((a ^ b).bit_count() for a, b in zip(bits[x], bits[y])) <= len(set(sets[x]) ^ set(sets[y]))
+    assert all(b for b in bits[7])  # tokens fall to every number
+
+
+def test_pairs_far_apart_end_before_their_tokens_are_joined(spark, monkeypatch):
+    shared = " ".join(f"s{i}" for i in range(12))
+    texts = [f"{shared} " + " ".join(f"w{doc}x{i}" for i in range(30)) for doc in range(8)]
+    texts.append(texts[3] + " more")
+    base = spark.createDataFrame(list(enumerate(texts)), "_key long, text string")
+    pairs = [(x, 0, y, 0) for y in range(9) for x in range(y)]
+    written, keep = {}, line_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    found = line_dedup._verified(spark.createDataFrame(pairs, "x_key long, x_line int, y_key long, y_line int"), base)
+    assert [tuple(r) for r in found.collect()] == [(3, 0, 8, 0)]
+    assert written["line-pairs"] == 36 and written["likely-pairs"] == 1
