@@ -53,3 +53,18 @@ def test_a_file_appears_only_whole(tmp_path):
         assert stream.read() == b"whole"
     blobs.remove([uri, uri, f"file:{tmp_path}/none"])
     assert not Path(tmp_path, "a/b").exists()
+
+
+def test_all_parts_of_all_bundles_are_scored_in_one_python_step(spark):
+    rows = spark.createDataFrame([(i, float(i % 9), float(i % 7), float(i % 3), float(max(i % 5 - 1, 0))) for i in range(400)], "id int, a double, b double, x double, y double")
+    prep = m.Preprocessing(numeric=["a", "b"], scale=False)
+    bundles = {"x": m.fit_fixed_amount_target(rows, prep, "x", trees=2), "y": m.fit_two_stage_target(rows, prep, "y", trees=2),
+               "b": m.fit_continuous_target(rows, prep, "b", trees=2)}
+    scored = m.predict_bundles(bundles, rows)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert scored.columns == [*rows.columns, "x_prediction", "y_prediction", "b_prediction", "total_prediction"]
+    together = [tuple(r) for r in scored.orderBy("id").select("x_prediction", "y_prediction", "b_prediction").collect()]
+    alone = [[r["p"] for r in b.predict(rows, "p").orderBy("id").collect()] for b in bundles.values()]
+    assert together == list(zip(*alone))
+    first = bundles["y"].parts["classifier"].transform(rows).select("id", "prediction").orderBy("id").collect()
+    assert all((row[1] == 0.0) or r["prediction"] == 1.0 for row, r in zip(together, first))
