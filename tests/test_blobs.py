@@ -7,6 +7,7 @@ import pytest
 
 from ledgerline.operators import boosting as b
 from ledgerline.operators import models as m
+from ledgerline.operators import trees as t
 from ledgerline.session import shared_folder
 from ledgerline.sources import blobs
 
@@ -68,3 +69,24 @@ def test_all_parts_of_all_bundles_are_scored_in_one_python_step(spark):
     assert together == list(zip(*alone))
     first = bundles["y"].parts["classifier"].transform(rows).select("id", "prediction").orderBy("id").collect()
     assert all((row[1] == 0.0) or r["prediction"] == 1.0 for row, r in zip(together, first))
+
+
+def test_few_trees_are_brought_together_at_a_time(spark, monkeypatch):
+    """The trees are the same in groups of one, and their rows' files are gone before the next group's."""
+    rows = spark.createDataFrame([(i, float(i % 9), float(i % 7), float(i % 9 > 3) * 50 + i % 7) for i in range(900)], "id int, a double, b double, y double").repartition(4)
+    folders = []
+    whole = t.finished
+
+    def seeing(*args):
+        folders.append(len([p for p in Path(shared_folder(spark)).glob("forest-*") if p.exists()]))
+        return whole(*args)
+
+    monkeypatch.setattr(t, "finished", seeing)
+    made = []
+    for size in (t.DEALT_BYTES, 1):
+        monkeypatch.setattr(t, "DEALT_BYTES", size)
+        monkeypatch.setattr(t, "RUN_BYTES", size)
+        model = m.fit_forest_multi(rows, m.Preprocessing(numeric=["a", "b"], scale=False), ["y"], trees=5, depth=6, min_leaf=2)
+        made.append([r["y_prediction"] for r in model.transform(rows).orderBy("id").collect()])
+    assert np.allclose(*made)
+    assert folders == [folders[0]] * 6
